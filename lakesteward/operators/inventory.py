@@ -6,6 +6,7 @@ read once and never shuffled.
 
 from __future__ import annotations
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,7 +172,8 @@ def attach_pattern_owner(
     """Adds ``_table``: target of the longest pattern found in the path (ties: first by text).
 
     A small catalogue becomes constant patterns in the plan, each compiled once
-    per task, and the listing is not shuffled. A larger one is joined in batches.
+    per task, and the listing is not shuffled; patterns that do not compile are
+    left out. A larger one is joined in batches, where such a pattern stops the job.
     """
     usable = usable_locations(locations)
     head = usable.limit(plan_patterns + 1).collect()
@@ -184,9 +186,7 @@ def attach_pattern_owner(
     for row in head:
         try:
             compile_pattern(_PATTERN_FLAGS + row["pattern"])
-        except Exception as error:
-            if "PatternSyntaxException" not in str(error):
-                raise
+        except IllegalArgumentException:
             continue
         known.append(row)
     known.sort(key=lambda r: (-len(r["pattern"]), r["pattern"]))
