@@ -27,12 +27,28 @@ def list_index(a: Column, value) -> Column:
 def list_minus(a: Column, b: Column) -> Column:
     """Elements of ``a`` that are not in ``b``; order and duplicates are kept.
 
-    ``array_except`` would drop duplicates. The hash-based intersection comes
-    first so that each element is compared only with what ``a`` really shares.
+    ``array_except`` would drop duplicates. The hash-based intersection finds what
+    the lists share; those elements go into buckets by hash, so that each element
+    of ``a`` is compared with one small bucket instead of all of them.
     """
+    def bucket_of(x: Column, count: Column) -> Column:
+        return F.pmod(F.hash(x), count).cast("int")
+
+    def bucketed(common: Column) -> Column:
+        count = F.ceil(F.sqrt(F.size(common))).cast("int") + 1
+        tagged = F.transform(common, lambda x: F.struct(bucket_of(x, count).alias("at"), x.alias("x")))
+        return bind(tagged, lambda t: F.transform(
+            F.sequence(F.lit(0), count - 1),
+            lambda k: F.transform(F.filter(t, lambda e: e["at"] == k), lambda e: e["x"]),
+        ))
+
+    buckets = bind(F.array_intersect(a, b), bucketed)
     return bind(
-        F.struct(a.alias("a"), F.array_intersect(a, b).alias("common")),
-        lambda s: F.filter(s["a"], lambda x: ~F.array_contains(s["common"], x)),
+        F.struct(a.alias("a"), buckets.alias("buckets")),
+        lambda s: F.filter(
+            s["a"],
+            lambda x: ~F.array_contains(F.get(s["buckets"], bucket_of(x, F.size(s["buckets"]))), x),
+        ),
     )
 
 

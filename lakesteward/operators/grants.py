@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.enums import GRANT_OBJECT_TYPES, PRIVILEGES, names_array
+from ..functions.rows import keep_where, unnest_placed
 from ..functions.text import or_empty, trim_ws
 
 # Blank characters of the statement text.
@@ -135,7 +136,7 @@ def _permissions() -> Column:
 
 
 def _good(grants: DataFrame) -> DataFrame:
-    return parse_grants(grants).where("reject_reason is null")
+    return keep_where(parse_grants(grants), F.col("reject_reason").isNull())
 
 
 def grant_grantees(grants: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def grant_object_names(grants: DataFrame) -> DataFrame:
 
 def grant_privileges(grants: DataFrame) -> DataFrame:
     """One row per statement and privilege, with its place in the list."""
-    return parse_grants(grants).select("grant_id", F.posexplode("permissions").alias("place", "permission"))
+    return unnest_placed(parse_grants(grants), F.col("permissions"), "place", "permission", "grant_id")
 
 
 def grant_flat(grants: DataFrame) -> DataFrame:
@@ -161,4 +162,4 @@ def grant_flat(grants: DataFrame) -> DataFrame:
 
 
 def grant_rejects(grants: DataFrame) -> DataFrame:
-    return parse_grants(grants).where("reject_reason is not null").select(*grants.columns, "reject_reason")
+    return keep_where(parse_grants(grants), F.col("reject_reason").isNotNull()).select(*grants.columns, "reject_reason")

@@ -36,44 +36,54 @@ FULL_COLUMNS = [
 ]
 
 
+def _is_good() -> Column:
+    """Rows that can be attributed. Cheap and on plain columns, so it reaches the scan."""
+    return F.coalesce(F.contains("name", F.lit("/")) & F.col("type").isin("FILE", "DIR"), F.lit(False))
+
+
 def _with_parts(listing: DataFrame) -> DataFrame:
-    """Adds the split path and the flag of rows that can be attributed."""
-    parts = F.split(or_empty(F.col("name")), "/")
-    return listing.withColumn("_parts", parts).withColumn(
-        "_good",
-        (F.size("_parts") >= 2) & F.coalesce(F.col("type").isin("FILE", "DIR"), F.lit(False)),
-    )
+    """Good rows with the split path, its size and the deepest level that is shown.
+
+    A FILE row leaves its last part out and stops at level 5.
+    """
+    good = listing.where(_is_good()).withColumn("_parts", F.split("name", "/"))
+    good = good.withColumn("_n", F.size("_parts"))
+    deepest = F.when(F.col("type") == "DIR", F.col("_n") - 1).otherwise(F.least(F.col("_n") - 2, F.lit(LEVELS - 1)))
+    return good.withColumn("_deepest", deepest)
 
 
 def _part(k: int) -> Column:
-    return or_empty(F.get("_parts", F.lit(k)))
+    return F.get("_parts", F.lit(k))
 
 
 def path_level_columns() -> list[Column]:
-    """Path depth and level names. A FILE row leaves its last part out and stops at level 5."""
-    n = F.size("_parts")
-    is_dir = F.col("type") == "DIR"
-    root = (n == 2) & (_part(1) == "")
-    columns = [
-        F.when(root, 0).otherwise(n - 1).cast("int").alias("path_level"),
+    """Path depth and level names."""
+    root = (F.col("_n") == 2) & (_part(1) == "")
+    return [
+        F.when(root, 0).otherwise(F.col("_n") - 1).cast("int").alias("path_level"),
         F.lit("/").alias(LEVEL_COLUMNS[0]),
+        *[
+            F.when(F.col("_deepest") >= k, _part(k)).otherwise("").alias(LEVEL_COLUMNS[k])
+            for k in range(1, LEVELS + 1)
+        ],
     ]
-    for k in range(1, LEVELS + 1):
-        shown = is_dir if k == LEVELS else is_dir | (n - 2 >= k)
-        columns.append(F.when(shown, _part(k)).otherwise("").alias(LEVEL_COLUMNS[k]))
-    return columns
 
 
-def convention_columns() -> list[Column]:
+def _with_convention(good: DataFrame) -> DataFrame:
     """Owner by naming convention: a ``.db`` folder at level 4 with a table folder below."""
-    folder = F.lower(_part(4))
-    owned = (F.size("_parts") > 5) & folder.contains(".db")
-    db = F.replace(folder, F.lit(".db"), F.lit(""))
-    tbl = F.lower(_part(5))
+    folder = good.withColumn("_folder", F.when(F.col("_n") > 5, F.lower(_part(4))))
+    owned = F.contains("_folder", F.lit(".db"))
+    return folder.withColumns({
+        "_db": F.when(owned, F.replace("_folder", F.lit(".db"), F.lit(""))),
+        "_tbl": F.when(owned, F.lower(_part(5))),
+    })
+
+
+def convention_columns() -> list[Column]:
     return [
-        F.when(owned, F.concat(db, F.lit("."), tbl)).otherwise("").alias("table_name"),
-        F.when(owned, db).otherwise("").alias("db_name"),
-        F.when(owned, tbl).otherwise("").alias("tbl_name"),
+        or_empty(F.concat("_db", F.lit("."), "_tbl")).alias("table_name"),
+        or_empty(F.col("_db")).alias("db_name"),
+        or_empty(F.col("_tbl")).alias("tbl_name"),
     ]
 
 
@@ -86,28 +96,25 @@ def type_columns() -> list[Column]:
 
 
 def inventory_levels(listing: DataFrame) -> DataFrame:
-    good = _with_parts(listing).where("_good")
-    return good.select("name", "type", *path_level_columns())
+    return _with_parts(listing).select("name", "type", *path_level_columns())
 
 
 def convention_table(listing: DataFrame) -> DataFrame:
-    good = _with_parts(listing).where("_good")
-    return good.select("name", *convention_columns())
+    return _with_convention(_with_parts(listing)).select("name", *convention_columns())
 
 
 def type_codes(listing: DataFrame) -> DataFrame:
-    return _with_parts(listing).where("_good").select("name", *type_columns())
+    return listing.where(_is_good()).select("name", *type_columns())
 
 
 def inventory_rejects(listing: DataFrame) -> DataFrame:
     """Rows that cannot be attributed: no separator in the path, or another type."""
-    reason = F.when(F.size("_parts") < 2, "path").otherwise("type")
-    bad = _with_parts(listing).where(~F.col("_good"))
-    return bad.select("name", "type", "size_byte", "dt", reason.alias("reject_reason"))
+    reason = F.when(F.contains(or_empty(F.col("name")), F.lit("/")), "type").otherwise("path")
+    return listing.where(~_is_good()).select("name", "type", "size_byte", "dt", reason.alias("reject_reason"))
 
 
 def inventory_slim(listing: DataFrame) -> DataFrame:
-    good = _with_parts(listing).where("_good")
+    good = _with_convention(_with_parts(listing))
     return good.select(
         "name", *path_level_columns(), *convention_columns(), *type_columns()
     ).select(*SLIM_COLUMNS)
@@ -137,7 +144,7 @@ def match_location_prefixes(listing: DataFrame, locations: DataFrame) -> DataFra
 
 
 def _owned(matched: DataFrame) -> DataFrame:
-    return _with_parts(matched).where("_good")
+    return _with_convention(_with_parts(matched))
 
 
 def _owner_columns() -> list[Column]:

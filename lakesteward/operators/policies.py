@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.enums import POLICY_OBJECT_TYPES, SERVICE_TYPES, names_array
-from ..functions.text import or_empty, trim_ws
+from ..functions.rows import keep_where, unnest, unnest_placed
+from ..functions.text import bind, or_empty, trim_ws
 from ..sources.schemas import POLICY
 
 FLAT_COLUMNS = [
@@ -110,32 +111,27 @@ def object_type() -> Column:
     return F.when(F.col("doc.serviceType") == "hive", hive).when(other.isin(*POLICY_OBJECT_TYPES), other)
 
 
-def _named(kind: str) -> Column:
-    """Values of a resource with "*" spelled out."""
-    return F.transform(
-        _values(kind), lambda v: F.when(v == "*", F.lit(ALL_NAMES[kind])).otherwise(or_empty(v))
-    )
-
-
-def _first(kind: str) -> Column:
-    return F.slice(_values(kind), 1, 1)
-
-
 def _names_at(place: int) -> Column:
-    """First or second name list of the object type; one blank name where there is no second."""
-    kind_first = ("database", "table")[place]
-    chosen = F.when(F.col("object_type").isin(*_FIRST_ONLY), _first(kind_first))
+    """First or second name list of the object type, with "*" spelled out.
+
+    Types with one list get a single blank second name.
+    """
+    kind = F.col("object_type")
+    chosen = F.when(kind.isin(*_FIRST_ONLY), F.slice(_values(("database", "table")[place]), 1, 1))
+    star = F.when(kind.isin(*_FIRST_ONLY), "*")
     for made, kinds in _MADE_OF.items():
-        names = _named(kinds[place]) if place < len(kinds) else F.array(F.lit(""))
-        chosen = chosen.when(F.col("object_type") == made, names)
-    return chosen
+        if place < len(kinds):
+            chosen = chosen.when(kind == made, _values(kinds[place]))
+            star = star.when(kind == made, ALL_NAMES[kinds[place]])
+    if place:
+        chosen = chosen.otherwise(F.array(F.lit("")))
+    return F.transform(chosen, lambda v: F.when(v == "*", star).otherwise(or_empty(v)))
 
 
 def with_objects(typed: DataFrame) -> DataFrame:
     """One row per protected object: two explodes give the cross product of two name lists."""
     kind = F.col("object_type")
-    rows = typed.withColumn("_one", F.explode(_names_at(0)))
-    rows = rows.withColumn("_two", F.explode(_names_at(1)))
+    rows = unnest(unnest(typed, _names_at(0), "_one"), _names_at(1), "_two")
     both = F.concat_ws(" AND ", "_one", "_two")
     columns = F.transform(_values("column"), or_empty)
     return rows.withColumns({
@@ -174,22 +170,26 @@ def _zone(schedule: Column) -> Column:
 def _instant(clock: Column, zone: Column) -> Column:
     """Instant of a clock time in a zone; NULL for a bad time or an unknown zone. No zone is UTC."""
     zone = F.when(zone == "", "UTC").otherwise(zone)
-    return F.concat_ws(" ", clock, zone).try_cast("timestamp")
+    return F.concat(clock, F.lit(" "), zone).try_cast("timestamp")
 
 
-def validity_text() -> Column:
-    """``start~end~zone`` of every schedule; NULL elements where a time is bad."""
+def schedule_times() -> Column:
+    """Padded start and end, and the zone, of every schedule."""
     return F.transform(
         _schedules(),
-        lambda s: F.concat(_clock(s["startTime"]), F.lit("~"), _clock(s["endTime"]), F.lit("~"), _zone(s)),
+        lambda s: F.struct(
+            _clock(s["startTime"]).alias("start"), _clock(s["endTime"]).alias("end"), _zone(s).alias("zone")
+        ),
     )
 
 
-def _ends() -> Column:
-    return F.transform(
-        _schedules(),
-        lambda s: F.when(_clock(s["endTime"]).isNotNull(), _instant(_clock(s["endTime"]), _zone(s))),
-    )
+def _as_text(times: Column) -> Column:
+    return F.transform(times, lambda t: F.concat(t["start"], F.lit("~"), t["end"], F.lit("~"), t["zone"]))
+
+
+def validity_text() -> Column:
+    """``start~end~zone`` of every schedule; NULL elements where a time is bad."""
+    return bind(schedule_times(), _as_text)
 
 
 def is_expired(as_of: datetime | Column) -> Column:
@@ -259,10 +259,10 @@ def policy_status() -> Column:
 def _typed(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
     """Documents with object type, validity and the reason they cannot be flattened, if any."""
     docs = parse_policies(bodies) if "doc" not in bodies.columns else bodies
-    typed = docs.withColumns({
-        "object_type": object_type(),
-        "validity_schedules": validity_text(),
-        "_ends": _ends(),
+    typed = docs.withColumns({"object_type": object_type(), "_times": schedule_times()})
+    typed = typed.withColumns({
+        "validity_schedules": _as_text(F.col("_times")),
+        "_ends": F.transform("_times", lambda t: _instant(t["end"], t["zone"])),
     })
     first_only = F.col("object_type").isin(*_FIRST_ONLY)
     unnamed = (F.size(_values("database")) == 0) | (F.size(_values("table")) == 0)
@@ -286,11 +286,11 @@ def _typed(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def _good(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    return _typed(bodies, as_of).where("reject_reason is null")
+    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNull())
 
 
 def policy_rejects(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    return _typed(bodies, as_of).where("reject_reason is not null").select(*bodies.columns, "reject_reason")
+    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNotNull()).select(*bodies.columns, "reject_reason")
 
 
 def policy_object_types(bodies: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def policy_objects(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def policy_validity(bodies: DataFrame) -> DataFrame:
-    return parse_policies(bodies).select("id", F.posexplode(validity_text()).alias("place", "validity"))
+    return unnest_placed(parse_policies(bodies), validity_text(), "place", "validity", "id")
 
 
 def policy_expired(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
@@ -313,7 +313,7 @@ def policy_expired(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def _with_items(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    rows = _good(bodies, as_of).withColumn("_item", F.explode(policy_items()))
+    rows = unnest(_good(bodies, as_of), policy_items(), "_item")
     return rows.withColumns({
         "permission_type": F.col("_item.permission_type"),
         "permission": F.col("_item.permission"),
@@ -330,7 +330,7 @@ def policy_privileges(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def policy_grantees(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    rows = _with_items(bodies, as_of).withColumn("_grantee", F.explode(item_grantees(F.col("_item"))))
+    rows = unnest(_with_items(bodies, as_of), item_grantees(F.col("_item")), "_grantee")
     return rows.select("policy_id", "permission_type", "_grantee.grantee_type", "_grantee.grantee")
 
 
@@ -349,7 +349,7 @@ def policy_flat(
     be pushed below the explodes.
     """
     rows = _with_items(bodies, as_of).withColumn("status", policy_status())
-    rows = rows.withColumn("_grantee", F.explode(item_grantees(F.col("_item"))))
+    rows = unnest(rows, item_grantees(F.col("_item")), "_grantee")
     rows = rows.withColumns({
         "grantee_type": F.col("_grantee.grantee_type"), "grantee": F.col("_grantee.grantee"),
     })

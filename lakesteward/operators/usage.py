@@ -8,13 +8,15 @@ recurses on plain ones and long statements would exhaust the stack.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lists import list_drop_matching
-from ..functions.text import or_empty, trim_ws
+from ..functions.rows import unnest, unnest_placed
+from ..functions.text import bind, or_empty, trim_ws
 
 DEFAULT_CATALOG = "default_catalog"
 # Names that are never tables, and marks of names to leave out.
@@ -44,6 +46,12 @@ _PATTERNS = {
     "DELETE": rf"(?i){_START}delete{_S}++from{_GAP}({_NAME})",
     "TRUNCATE": rf"(?i){_START}truncate{_S}++table{_GAP}({_NAME})",
 }
+# A text without one of these words cannot hold the action, so its pattern is not tried.
+_NEEDLES = {
+    "FROM": ["from"], "JOIN": ["join"], "WITH": ["as", "("], "EXTRACT TIME": ["extract"], "INSERT": ["insert"],
+    "CREATE": ["create"], "DROP": ["drop"], "ALTER": ["alter"], "UPDATE": ["update"], "DELETE": ["delete"],
+    "TRUNCATE": ["truncate"],
+}
 # Second and later names of a comma list after FROM.
 _COMMA_LIST = rf"(?i){_START}from{_GAP}{_NAME}{_ALIAS}((?:{_S}*+,{_S}*+{_NAME}{_ALIAS})++)"
 _LISTED = rf"(?i),{_S}*+({_NAME})"
@@ -63,18 +71,33 @@ def default_catalog(catalog: Column, default: str | None = None) -> Column:
     return F.when(blank, F.lit(default or DEFAULT_CATALOG)).otherwise(catalog)
 
 
+def _replaced(text: Column, needles: Sequence[str], pattern: str, new: str = " ") -> Column:
+    """Pattern replacement that is skipped for texts without any of the needles."""
+    def step(t: Column) -> Column:
+        needed = F.lit(False)
+        for needle in needles:
+            needed = needed | F.contains(t, F.lit(needle))
+        return F.when(needed, F.regexp_replace(t, pattern, new)).otherwise(t)
+
+    return bind(text, step)
+
+
+def _without_blank_lines(text: Column) -> Column:
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line: trim_ws(line) != ""), "\n")
+    return F.when(F.contains(text, F.lit("\n")), kept).when(trim_ws(text) == "", "").otherwise(text)
+
+
 def clean_text(query: Column, drop_literals: bool = True) -> Column:
     """Statement without comments, blank lines and (on request) quoted literals."""
-    text = F.regexp_replace(or_empty(query), r"(?s)\\n|/\*.*?\*/", "\n")
+    text = _replaced(or_empty(query), ["/*", "\\n"], r"(?s)\\n|/\*.*?\*/", "\n")
     if drop_literals:
-        text = F.regexp_replace(text, r"'[^\\'\n]*+(?:\\[^\n][^\\'\n]*+)*+'", " ")
-        text = F.regexp_replace(text, r'"[^\\"\n]*+(?:\\[^\n][^\\"\n]*+)*+"', " ")
-    text = F.regexp_replace(text, r"--[^\n]*+", " ")
-    lines = F.filter(F.split(text, "\n"), lambda line: trim_ws(line) != "")
-    text = F.array_join(lines, "\n")
+        text = _replaced(text, ["'"], r"'[^\\'\n]*+(?:\\[^\n][^\\'\n]*+)*+'")
+        text = _replaced(text, ['"'], r'"[^\\"\n]*+(?:\\[^\n][^\\"\n]*+)*+"')
+    text = _replaced(text, ["--"], r"--[^\n]*+")
+    text = bind(text, _without_blank_lines)
     if drop_literals:
-        text = F.regexp_replace(text, r"'[^\\']*+(?:\\[^\n][^\\']*+)*+'", " ")
-        text = F.regexp_replace(text, r'"[^\\"]*+(?:\\[^\n][^\\"]*+)*+"', " ")
+        text = _replaced(text, ["'"], r"'[^\\']*+(?:\\[^\n][^\\']*+)*+'")
+        text = _replaced(text, ['"'], r'"[^\\"]*+(?:\\[^\n][^\\"]*+)*+"')
     return text
 
 
@@ -89,8 +112,7 @@ def _with_session(log: DataFrame, default: str | None) -> DataFrame:
     Only a text with at least two statements can change its session; the last
     SET CATALOG or USE counts for the whole text.
     """
-    log = log.withColumn("clean_query", clean_text(F.col("query")))
-    log = log.withColumn("_statements", F.split("clean_query", ";"))
+    log = _with_clean(log).withColumn("_statements", F.split("clean_query", ";"))
     steps = F.transform(
         "_statements",
         lambda s: F.struct(
@@ -125,22 +147,33 @@ def _with_session(log: DataFrame, default: str | None) -> DataFrame:
 
 def canonical_name(name: Column) -> Column:
     """Lower-cased name with every part in backquotes: ``A . `b c` `` -> `` `a`.`b c` ``."""
-    return F.array_join(F.transform(_name_parts(name), lambda p: F.concat(F.lit("`"), p, F.lit("`"))), ".")
+    quoted = F.transform(_name_parts(name), lambda p: F.concat(F.lit("`"), p, F.lit("`")))
+    plain = F.concat(F.lit("`"), F.replace(F.lower(name), F.lit("."), F.lit("`.`")), F.lit("`"))
+    return F.when(name.rlike(rf"`|{_S}"), F.array_join(quoted, ".")).otherwise(plain)
 
 
 def _canonical(names: Column) -> Column:
     return F.array_distinct(F.transform(names, canonical_name))
 
 
-def _found(action: str, text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_PATTERNS[action]), F.lit(1))
+def _guarded(text: Column, lower: Column, needles: Sequence[str], pattern: str) -> Column:
+    """All matches of a pattern, tried only on texts that hold every needle."""
+    held = F.lit(True)
+    for needle in needles:
+        held = held & F.contains(lower, F.lit(needle))
+    return F.when(held, F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).otherwise(
+        F.array().cast("array<string>")
+    )
+
 
+def table_names(action: str, text: Column, lower: Column, signs: Sequence[str] = ()) -> Column:
+    """Names one action finds in a cleaned text: canonical, distinct, first occurrence first.
 
-def table_names(action: str, text: Column, signs: Sequence[str] = ()) -> Column:
-    """Names one action finds in a cleaned text: canonical, distinct, first occurrence first."""
-    found = _found(action, text)
+    ``lower`` is the text in lower case.
+    """
+    found = _guarded(text, lower, _NEEDLES[action], _PATTERNS[action])
     if action == "JOIN":
-        lists = F.regexp_extract_all(text, F.lit(_COMMA_LIST), F.lit(1))
+        lists = _guarded(text, lower, ["from", ","], _COMMA_LIST)
         listed = F.flatten(F.transform(lists, lambda t: F.regexp_extract_all(t, F.lit(_LISTED), F.lit(1))))
         found = F.concat(listed, found)
     names = _canonical(found)
@@ -148,37 +181,26 @@ def table_names(action: str, text: Column, signs: Sequence[str] = ()) -> Column:
 
 
 def ignored_names(extra: Sequence[str] = ()) -> Column:
-    """Canonical names on the ignore list: the fixed ones and the caller's."""
-    listed = [*IGNORED_TABLES, *extra]
-    return F.array(*[canonical_name(F.lit(n)) for n in listed])
+    """Canonical names on the ignore list, the fixed ones and the caller's, as constants."""
+    listed = [re.findall(r"`[^`]+`|\w+", n.lower()) for n in (*IGNORED_TABLES, *extra)]
+    return F.array(*[F.lit(".".join(f"`{p.strip('`')}`" for p in parts)) for parts in listed])
 
 
-def _with_names(log: DataFrame, ignore_tables: Sequence[str], ignore_signs: Sequence[str]) -> DataFrame:
-    text = F.col("clean_query")
+def _with_clean(log: DataFrame) -> DataFrame:
+    return log.withColumn("clean_query", clean_text(F.col("query"))).withColumn("_lower", F.lower("clean_query"))
+
+
+def _with_names(
+    log: DataFrame, ignore_tables: Sequence[str], ignore_signs: Sequence[str], actions: Sequence[str] = tuple(_PATTERNS)
+) -> DataFrame:
+    """Adds a name list per action, and the names read from: FROM and JOIN without the rest."""
     signs = [*IGNORED_SIGNS, *ignore_signs]
-    found = {a: table_names(a, text, signs if a == "DROP" else ()) for a in _PATTERNS}
-    log = log.withColumns({f"_{a}": c for a, c in found.items()})
+    text, lower = F.col("clean_query"), F.col("_lower")
+    log = log.withColumns({f"_{a}": table_names(a, text, lower, signs if a == "DROP" else ()) for a in actions})
     excluded = F.concat("`_EXTRACT TIME`", "_WITH", "_DELETE", ignored_names(ignore_tables))
     return log.withColumn("_SELECT", F.array_except(F.array_union("_FROM", "_JOIN"), excluded))
 
 
-def _references(action: str) -> Column:
-    """Names of one action as references; those without 1-3 parts or a database stay NULL there."""
-    def reference(name: Column) -> Column:
-        parts = F.regexp_extract_all(name, F.lit("`([^`]++)`"), F.lit(1))
-        count = F.size(parts)
-        usable = count.between(2, 3) | ((count == 1) & (F.col("session_db") != ""))
-        return F.struct(
-            F.lit(action).alias("action"),
-            name.alias("name"),
-            F.when(usable, F.when(count == 3, F.get(parts, F.lit(0))).otherwise(F.col("session_catalog"))).alias("catalog"),
-            F.when(usable, F.when(count == 1, F.col("session_db")).otherwise(F.get(parts, count - 2))).alias("db_name"),
-            F.when(usable, F.get(parts, count - 1)).alias("table_name"),
-        )
-
-    return F.transform(F.col(f"_{action}"), reference)
-
-
 def analyse_log(
     log: DataFrame,
     default: str | None = None,
@@ -189,16 +211,56 @@ def analyse_log(
     return _with_names(_with_session(log, default), ignore_tables, ignore_signs)
 
 
+def _part_count(name: Column) -> Column:
+    """Parts of a canonical name; only separators hold a backquote, a dot and a backquote."""
+    separators = F.length(name) - F.length(F.replace(name, F.lit("`.`"), F.lit("")))
+    return (separators / F.lit(3)).cast("int") + 1
+
+
+def _usable(name: Column) -> Column:
+    """Can the name be qualified? It needs one to three parts, and a database to put a bare name in."""
+    fewest = F.when(F.col("session_db") == "", 2).otherwise(1)
+    return _part_count(name).between(fewest, F.lit(3))
+
+
 def _exploded(analysed: DataFrame, actions: Sequence[str], usable: bool | None) -> DataFrame:
-    """One row per reference; all actions go through a single explode."""
-    lists = []
+    """One row per name of the actions, by a single explode of their joined lists.
+
+    The place in the joined list tells the action and the index within it, so the
+    elements stay plain text; the rest is worked out per row after the explode.
+    """
+    lists = {a: F.col(f"_{a}") for a in actions}
+    if usable is not None:
+        mixed = F.exists(F.concat(*lists.values()), lambda n: _usable(n) != F.lit(usable))
+        analysed = analysed.withColumn("_mixed", mixed)
+        lists = {
+            a: F.when(F.col("_mixed"), F.filter(names, lambda n: _usable(n) == F.lit(usable))).otherwise(names)
+            for a, names in lists.items()
+        }
+    analysed = analysed.select("query_id", "session_catalog", "session_db", *[c.alias(f"_{a}") for a, c in lists.items()])
+    ends, end = {}, F.lit(0)
     for action in actions:
-        kept = _references(action)
-        if usable is not None:
-            kept = F.filter(kept, lambda r: r["table_name"].isNotNull() == F.lit(usable))
-        lists.append(F.transform(kept, lambda r, i: F.struct(r.alias("r"), i.alias("i"))))
-    rows = analysed.select("query_id", F.explode(F.concat(*lists)).alias("e"))
-    return rows.select("query_id", "e.r.*", F.col("e.i").alias("index"))
+        end = end + F.size(f"_{action}")
+        ends[f"_end_{action}"] = end
+    sized = analysed.withColumns(ends)
+    joined = F.concat(*[F.col(f"_{a}") for a in actions])
+    rows = unnest_placed(sized, joined, "_at", "name", "query_id", "session_catalog", "session_db", *ends)
+    action, start, begin = None, None, F.lit(0)
+    for name in actions:
+        within = F.col("_at") < F.col(f"_end_{name}")
+        action = F.when(within, name) if action is None else action.when(within, name)
+        start = F.when(within, begin) if start is None else start.when(within, begin)
+        begin = F.col(f"_end_{name}")
+    parts = F.split(F.substring("name", F.lit(2), F.length("name") - 2), "`\\.`")
+    rows = rows.withColumns({"action": action, "index": F.col("_at") - start, "_parts": parts, "_ok": _usable(F.col("name"))})
+    count = F.size("_parts")
+    return rows.select(
+        "query_id", "action", "name",
+        F.when(F.col("_ok"), F.when(count == 3, F.get("_parts", F.lit(0))).otherwise(F.col("session_catalog"))).alias("catalog"),
+        F.when(F.col("_ok"), F.when(count == 1, F.col("session_db")).otherwise(F.get("_parts", count - 2))).alias("db_name"),
+        F.when(F.col("_ok"), F.get("_parts", count - 1)).alias("table_name"),
+        "index",
+    )
 
 
 def log_usage(
@@ -245,27 +307,28 @@ def log_session(log: DataFrame, default: str | None = None) -> DataFrame:
 def log_names(log: DataFrame, action: str, ignore_signs: Sequence[str] = ()) -> DataFrame:
     """One row per name an action finds, with its place in the statement."""
     signs = [*IGNORED_SIGNS, *ignore_signs] if action == "DROP" else ()
-    cleaned = log.withColumn("clean_query", clean_text(F.col("query")))
-    names = table_names(action, F.col("clean_query"), signs)
-    return cleaned.select("query_id", F.posexplode(names).alias("place", "name"))
+    names = table_names(action, F.col("clean_query"), F.col("_lower"), signs)
+    return unnest_placed(_with_clean(log), names, "place", "name", "query_id")
+
+
+_READ_STEPS = ("FROM", "JOIN", "EXTRACT TIME", "WITH", "DELETE")
 
 
 def log_select(log: DataFrame, ignore_tables: Sequence[str] = ()) -> DataFrame:
     """Names read by each statement, before they are qualified."""
-    cleaned = log.withColumn("clean_query", clean_text(F.col("query")))
-    named = _with_names(cleaned, ignore_tables, ())
-    return named.select("query_id", F.posexplode("_SELECT").alias("place", "name"))
+    named = _with_names(_with_clean(log), ignore_tables, (), _READ_STEPS)
+    return unnest_placed(named, F.col("_SELECT"), "place", "name", "query_id")
 
 
 def log_ignored(log: DataFrame, ignore_tables: Sequence[str] = (), ignore_signs: Sequence[str] = ()) -> DataFrame:
     """Names that the ignore lists take out: listed tables, and dropped tables with a sign."""
-    cleaned = log.withColumn("clean_query", clean_text(F.col("query")))
-    text = F.col("clean_query")
-    read = F.array_intersect(F.array_union(table_names("FROM", text), table_names("JOIN", text)), ignored_names(ignore_tables))
-    every_drop = table_names("DROP", text)
-    dropped = F.array_except(every_drop, list_drop_matching(every_drop, [s.lower() for s in (*IGNORED_SIGNS, *ignore_signs)]))
+    text, lower = F.col("clean_query"), F.col("_lower")
+    read = F.array_union(table_names("FROM", text, lower), table_names("JOIN", text, lower))
+    listed = F.array_intersect(read, ignored_names(ignore_tables))
+    signs = [s.lower() for s in (*IGNORED_SIGNS, *ignore_signs)]
+    signed = bind(table_names("DROP", text, lower), lambda d: F.array_except(d, list_drop_matching(d, signs)))
     tagged = F.concat(
-        F.transform(read, lambda n: F.struct(F.lit("table").alias("list"), n.alias("name"))),
-        F.transform(dropped, lambda n: F.struct(F.lit("sign").alias("list"), n.alias("name"))),
+        F.transform(listed, lambda n: F.struct(F.lit("table").alias("list"), n.alias("name"))),
+        F.transform(signed, lambda n: F.struct(F.lit("sign").alias("list"), n.alias("name"))),
     )
-    return cleaned.select("query_id", F.explode(tagged).alias("e")).select("query_id", "e.*")
+    return unnest(_with_clean(log), tagged, "e").select("query_id", "e.*")

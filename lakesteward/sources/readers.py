@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from .schemas import LISTING
 
+SPREAD_BYTES = 16 * 1024 * 1024
+
 # Connection defaults by database kind.
 _JDBC = {
     "mysql": {
@@ -92,6 +94,17 @@ def exec_statement(spark: SparkSession, statement: str) -> None:
     spark.sql(statement)
 
 
+def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
+    """Rows dealt out to all cores when the input is too small to fill them with splits.
+
+    A file with one row group is one task however many cores there are. The
+    shuffle moves at most ``bytes_per_core`` per core; larger inputs are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size <= cores * bytes_per_core else df
+
+
 def as_text(df: DataFrame, null_text: str = "") -> DataFrame:
     """Every value as text."""
     return df.select(

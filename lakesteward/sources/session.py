@@ -19,6 +19,8 @@ def build_session(app: str, master: str | None = None, cores: int | None = None)
     return (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Beyond this size the JVM does not compile a generated method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
