@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import or_empty
+from ..sources.session import cut
 
 LEVELS = 6
 # Patterns up to this many (and this much text) are compiled into the plan.
@@ -276,6 +277,8 @@ def attach_prefix_owner(
         .agg(F.min("_target").alias("_target"))
         .withColumn("_depth", F.size(F.split("_loc", "/")))
     )
+    # Written once, since it is read for the measure and then once per depth.
+    usable = cut(usable)
     measured = usable.agg(
         F.count("*").alias("rows"),
         F.sum(F.octet_length("_loc") + F.octet_length("_target")).alias("bytes"),

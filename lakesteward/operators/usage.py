@@ -55,7 +55,8 @@ _NEEDLES = {
 # Second and later names of a comma list after FROM.
 _COMMA_LIST = rf"(?i){_START}from{_GAP}{_NAME}{_ALIAS}((?:{_S}*+,{_S}*+{_NAME}{_ALIAS})++)"
 _LISTED = rf"(?i),{_S}*+({_NAME})"
-_PART = r"(`[^`]++`|[0-9_\p{L}]++)"
+# One part of a name, with the dot before it.
+_PART = rf"(?:{_S}*+\.{_S}*+)?+(?:`([^`]++)`|([0-9_\p{{L}}]++))"
 
 _SET = rf"(?i){_START}set{_S}++catalog{_GAP}({_IDENT})"
 _USE = rf"(?i){_START}use{_GAP}({_IDENT}(?:{_S}*+\.{_S}*+{_IDENT})?+)"
@@ -101,9 +102,9 @@ def clean_text(query: Column, drop_literals: bool = True) -> Column:
     return text
 
 
-def _name_parts(name: Column) -> Column:
-    found = F.regexp_extract_all(F.lower(name), F.lit(_PART), F.lit(1))
-    return F.transform(found, lambda p: F.replace(p, F.lit("`"), F.lit("")))
+def _name_parts(canonical: Column) -> Column:
+    """Parts of a canonical name; a list of one empty text for an empty name."""
+    return F.split(F.substring(canonical, F.lit(2), F.length(canonical) - 2), "`\\.`")
 
 
 def _with_session(log: DataFrame, default: str | None) -> DataFrame:
@@ -116,40 +117,34 @@ def _with_session(log: DataFrame, default: str | None) -> DataFrame:
     steps = F.transform(
         "_statements",
         lambda s: F.struct(
-            F.get(_name_parts(F.regexp_extract(s, _SET, 1)), F.lit(0)).alias("catalog"),
-            F.filter(F.array(_name_parts(F.regexp_extract(s, _USE, 1))), lambda p: F.size(p).between(1, 2)).alias("used"),
+            canonical_name(F.regexp_extract(s, _SET, 1)).alias("set"),
+            canonical_name(F.regexp_extract(s, _USE, 1)).alias("use"),
         ),
     )
-    several = F.size("_statements") >= 2
-    log = log.withColumn("_steps", F.when(several, steps).otherwise(F.array().cast(
-        "array<struct<catalog:string,used:array<array<string>>>>"
-    )))
-    # Within a statement SET comes first, then USE.
-    catalogs = F.flatten(F.transform("_steps", lambda s: F.array(
-        s["catalog"],
-        F.get(F.transform(s["used"], lambda u: F.when(F.size(u) == 2, F.get(u, F.lit(0)))), F.lit(0)),
-    )))
-    schemas = F.flatten(F.transform("_steps", lambda s: F.transform(s["used"], lambda u: F.element_at(u, -1))))
+    none = F.array().cast("array<struct<set:string,use:string>>")
+    log = log.withColumn("_steps", F.when(F.size("_statements") >= 2, steps).otherwise(none))
+
+    # A list of the catalogs that are set, in order: within a statement SET comes first, then USE.
+    def catalogs_of(step: Column) -> Column:
+        used = F.when(F.contains(step["use"], F.lit("`.`")), F.substring_index(step["use"], ".`", 1))
+        return F.array(F.nullif(step["set"], F.lit("")), used)
+
+    catalogs = F.array_compact(F.flatten(F.transform("_steps", catalogs_of)))
+    schemas = F.filter(F.transform("_steps", lambda s: F.substring_index(s["use"], "`.", -1)), lambda u: u != "")
     start = default_catalog(F.col("catalog"), default)
-    return log.withColumns({
-        "session_catalog": F.coalesce(
-            F.try_element_at(F.filter(catalogs, lambda c: c.isNotNull()), F.lit(-1)),
-            F.replace(start, F.lit("`"), F.lit("")),
-        ),
-        "session_db": F.coalesce(
-            F.try_element_at(schemas, F.lit(-1)),
-            F.replace(or_empty(F.col("db_name")), F.lit("`"), F.lit("")),
-        ),
-    }).drop("_statements", "_steps")
+    last = {
+        "session_catalog": F.coalesce(F.try_element_at(catalogs, F.lit(-1)), start),
+        "session_db": F.coalesce(F.try_element_at(schemas, F.lit(-1)), or_empty(F.col("db_name"))),
+    }
+    bare = {name: F.replace(value, F.lit("`"), F.lit("")) for name, value in last.items()}
+    return log.withColumns(bare).drop("_statements", "_steps")
 
 
 # --- names -------------------------------------------------------------------
 
 def canonical_name(name: Column) -> Column:
     """Lower-cased name with every part in backquotes: ``A . `b c` `` -> `` `a`.`b c` ``."""
-    quoted = F.transform(_name_parts(name), lambda p: F.concat(F.lit("`"), p, F.lit("`")))
-    plain = F.concat(F.lit("`"), F.replace(F.lower(name), F.lit("."), F.lit("`.`")), F.lit("`"))
-    return F.when(name.rlike(rf"`|{_S}"), F.array_join(quoted, ".")).otherwise(plain)
+    return F.rtrim(F.regexp_replace(F.lower(name), _PART, "`$1$2`."), F.lit("."))
 
 
 def _canonical(names: Column) -> Column:
@@ -228,38 +223,38 @@ def _exploded(analysed: DataFrame, actions: Sequence[str], usable: bool | None)
 
     The place in the joined list tells the action and the index within it, so the
     elements stay plain text; the rest is worked out per row after the explode.
+    Unusable names take no index, so their places are kept beside the list.
     """
-    lists = {a: F.col(f"_{a}") for a in actions}
-    if usable is not None:
-        mixed = F.exists(F.concat(*lists.values()), lambda n: _usable(n) != F.lit(usable))
-        analysed = analysed.withColumn("_mixed", mixed)
-        lists = {
-            a: F.when(F.col("_mixed"), F.filter(names, lambda n: _usable(n) == F.lit(usable))).otherwise(names)
-            for a, names in lists.items()
-        }
-    analysed = analysed.select("query_id", "session_catalog", "session_db", *[c.alias(f"_{a}") for a, c in lists.items()])
-    ends, end = {}, F.lit(0)
-    for action in actions:
-        end = end + F.size(f"_{action}")
-        ends[f"_end_{action}"] = end
-    sized = analysed.withColumns(ends)
     joined = F.concat(*[F.col(f"_{a}") for a in actions])
-    rows = unnest_placed(sized, joined, "_at", "name", "query_id", "session_catalog", "session_db", *ends)
+    unusable = F.array_compact(F.transform(joined, lambda n, i: F.when(~_usable(n), i)))
+    ends, end = {}, F.lit(0)
+    for name in actions:
+        end = end + F.size(f"_{name}")
+        ends[f"_end_{name}"] = end
+    sized = analysed.withColumns({"_unusable": unusable, **ends})
+    rows = unnest_placed(sized, joined, "_at", "name", "query_id", "session_catalog", "session_db", "_unusable", *ends)
     action, start, begin = None, None, F.lit(0)
     for name in actions:
         within = F.col("_at") < F.col(f"_end_{name}")
         action = F.when(within, name) if action is None else action.when(within, name)
         start = F.when(within, begin) if start is None else start.when(within, begin)
         begin = F.col(f"_end_{name}")
-    parts = F.split(F.substring("name", F.lit(2), F.length("name") - 2), "`\\.`")
-    rows = rows.withColumns({"action": action, "index": F.col("_at") - start, "_parts": parts, "_ok": _usable(F.col("name"))})
+    rows = rows.withColumns({
+        "action": action, "_start": start, "_parts": _name_parts(F.col("name")), "_ok": _usable(F.col("name")),
+    })
+    if usable is not None:
+        rows = rows.where(F.col("_ok") == F.lit(usable))
+    skipped = F.filter("_unusable", lambda p: (p >= F.col("_start")) & (p < F.col("_at")))
     count = F.size("_parts")
+    target = {
+        "catalog": F.when(count == 3, F.get("_parts", F.lit(0))).otherwise(F.col("session_catalog")),
+        "db_name": F.when(count == 1, F.col("session_db")).otherwise(F.get("_parts", count - 2)),
+        "table_name": F.get("_parts", count - 1),
+    }
     return rows.select(
         "query_id", "action", "name",
-        F.when(F.col("_ok"), F.when(count == 3, F.get("_parts", F.lit(0))).otherwise(F.col("session_catalog"))).alias("catalog"),
-        F.when(F.col("_ok"), F.when(count == 1, F.col("session_db")).otherwise(F.get("_parts", count - 2))).alias("db_name"),
-        F.when(F.col("_ok"), F.get("_parts", count - 1)).alias("table_name"),
-        "index",
+        *[F.when(F.col("_ok"), value).alias(column) for column, value in target.items()],
+        (F.col("_at") - F.col("_start") - F.size(skipped)).alias("index"),
     )
 
 

@@ -266,8 +266,8 @@ _LOG = (
     f"""cleaned AS (SELECT query_id, catalog, db_name, {_without(
         f"array_to_string(list_filter(list_transform({_LINES}, lambda x: {_without('x', [*_LITERALS, '--.*$'])}), lambda x: trim(x) <> ''), chr(10))",
         _LITERALS)} AS q FROM querylog)""",
-    rf"""steps AS (SELECT query_id, s.i, {_parts(f"regexp_extract(s.v, '(?i){_EDGE}set\s+catalog({_FIRST})', 1)")} AS c,
-    {_parts(f"regexp_extract(s.v, '(?i){_EDGE}use({_FIRST}{_MORE}?)', 1)")} AS u
+    rf"""steps AS (SELECT query_id, s.i, {_parts(rf"regexp_extract(s.v, '(?i){_EDGE}set\s+catalog({_FIRST})', 1)")} AS c,
+    {_parts(rf"regexp_extract(s.v, '(?i){_EDGE}use({_FIRST}{_MORE}?)', 1)")} AS u
     FROM cleaned, unnest(string_split(q, ';')) WITH ORDINALITY s(v, i) WHERE contains(q, ';'))""",
     """changes AS (SELECT query_id, i * 2 AS seq, c[1] AS cat, NULL AS db FROM steps WHERE len(c) > 0
     UNION ALL SELECT query_id, i * 2 + 1, CASE WHEN len(u) = 2 THEN u[1] END, u[-1] FROM steps WHERE len(u) > 0)""",
