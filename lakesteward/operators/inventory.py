@@ -6,6 +6,8 @@ read once and never shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,9 @@ SALTS = 32
 # Unicode case folding and "\n" as the only line end.
 _PATTERN_FLAGS = "(?iud)"
 
+# ASCII text without pattern signs other than the dot.
+_PLAIN_TEXT = re.compile(r"[A-Za-z0-9/_=:,@%~#&;<>! .-]*\Z")
+
 LEVEL_COLUMNS = [f"extend_level{k}_name" for k in range(LEVELS + 1)]
 SLIM_COLUMNS = [
     "name", "path_level", *LEVEL_COLUMNS, "table_name", "db_name", "tbl_name", "type", "size",
@@ -198,16 +203,35 @@ def attach_pattern_owner(
             continue
         known.append(row)
     known.sort(key=lambda r: (-len(r["pattern"]), r["pattern"]))
-    name = or_empty(F.col("name"))
+    named = listing.withColumn("_folded", _folded(F.col("name")))
     groups = []
     for start in range(0, len(known), PATTERNS_PER_CASE):
         case = None
         for row in known[start:start + PATTERNS_PER_CASE]:
             add = F.when if case is None else case.when
-            case = add(name.rlike(_PATTERN_FLAGS + row["pattern"]), F.lit(row["table_name"]))
+            case = add(_found(row["pattern"]), F.lit(row["table_name"]))
         groups.append(case)
     found = F.coalesce(*groups) if groups else F.lit(None).cast("string")
-    return listing.withColumn("_table", found)
+    return named.withColumn("_table", found).drop("_folded")
+
+
+def _folded(name: Column) -> Column:
+    """Path in lower case; the long s is the one other letter that folds to an ASCII one."""
+    return F.replace(F.lower(or_empty(name)), F.lit("\u017f"), F.lit("s"))
+
+
+def _found(pattern: str) -> Column:
+    """Is the pattern found in the path?
+
+    Text that holds no pattern signs is looked up as text. Where the only sign is
+    a dot, the longest text between dots must be there before the pattern is tried.
+    """
+    search = or_empty(F.col("name")).rlike(_PATTERN_FLAGS + pattern)
+    if not _PLAIN_TEXT.match(pattern):
+        return search
+    pieces = pattern.lower().split(".")
+    held = F.contains("_folded", F.lit(max(pieces, key=len)))
+    return held if len(pieces) == 1 else held & search
 
 
 def _pattern_owner_joined(listing: DataFrame, usable: DataFrame) -> DataFrame:

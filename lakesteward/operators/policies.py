@@ -131,15 +131,13 @@ def _names_at(place: int) -> Column:
 def with_objects(typed: DataFrame) -> DataFrame:
     """One row per protected object: two explodes give the cross product of two name lists."""
     kind = F.col("object_type")
-    rows = unnest(unnest(typed, _names_at(0), "_one"), _names_at(1), "_two")
+    rows = unnest(unnest(typed, F.col("_ones"), "_one"), F.col("_twos"), "_two")
     both = F.concat_ws(" AND ", "_one", "_two")
-    columns = F.transform(_values("column"), or_empty)
     return rows.withColumns({
         "object_name": F.when(kind.isin(*_IN_DATABASE), "").when(kind.isin(*_TWO_NAMES), both).otherwise(F.col("_one")),
         "object_db_name": F.when(kind.isin(*_IN_DATABASE), trim_ws(F.col("_one"))).otherwise(""),
         "object_tbl_name": F.when(kind.isin(*_IN_TABLE), trim_ws(F.col("_two"))).otherwise(""),
-        "object_column": F.when(kind.isin("COLUMN", "MASKING"), columns).otherwise(_texts()),
-    }).drop("_one", "_two")
+    })
 
 
 # --- validity ----------------------------------------------------------------
@@ -249,39 +247,49 @@ def item_grantees(item: Column) -> Column:
 def policy_status() -> Column:
     """False if disabled, expired, or an exception without the items it is an exception from."""
     kind = F.col("permission_type")
-    orphan_allow = (kind == "AllowException") & (_count("policyItems") == 0)
-    orphan_deny = (kind == "DenyException") & (_count("denyPolicyItems") == 0)
+    orphan_allow = (kind == "AllowException") & ~F.col("_has_items")
+    orphan_deny = (kind == "DenyException") & ~F.col("_has_denials")
     return ~(~F.col("is_enable") | F.col("_expired") | orphan_allow | orphan_deny)
 
 
 # --- the job -----------------------------------------------------------------
 
 def _typed(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    """Documents with object type, validity and the reason they cannot be flattened, if any."""
+    """Input columns, and all a policy contributes to its rows, in short lists.
+
+    The document itself is left behind here, so that the explodes copy little.
+    ``reject_reason`` tells why a policy cannot be flattened, NULL if it can.
+    """
     docs = parse_policies(bodies) if "doc" not in bodies.columns else bodies
     typed = docs.withColumns({"object_type": object_type(), "_times": schedule_times()})
-    typed = typed.withColumns({
-        "validity_schedules": _as_text(F.col("_times")),
-        "_ends": F.transform("_times", lambda t: _instant(t["end"], t["zone"])),
-    })
-    first_only = F.col("object_type").isin(*_FIRST_ONLY)
+    kind = F.col("object_type")
+    first_only = kind.isin(*_FIRST_ONLY)
     unnamed = (F.size(_values("database")) == 0) | (F.size(_values("table")) == 0)
-    reason = (
+    instants = F.transform("_times", lambda t: _instant(t["end"], t["zone"]))
+    slim = typed.select(
+        *[f"`{c}`" for c in bodies.columns if c != "doc"],
+        "object_type",
+        F.coalesce("doc.id", F.lit(0)).alias("policy_id"),
+        or_empty(F.col("doc.name")).alias("policy_name"),
+        F.coalesce("doc.isEnabled", F.lit(False)).alias("is_enable"),
+        (F.coalesce("doc.policyPriority", F.lit(0)) != 0).alias("is_override"),
+        (_count("policyItems") > 0).alias("_has_items"),
+        (_count("denyPolicyItems") > 0).alias("_has_denials"),
+        _names_at(0).alias("_ones"),
+        _names_at(1).alias("_twos"),
+        F.when(kind.isin("COLUMN", "MASKING"), F.transform(_values("column"), or_empty)).otherwise(_texts()).alias("object_column"),
+        policy_items().alias("_items"),
+        _as_text(F.col("_times")).alias("validity_schedules"),
+        instants.alias("_ends"),
         F.when(F.col("doc").isNull() | (F.col("doc.id").isNull() & F.col("doc.serviceType").isNull()), "unreadable document")
-        .when(F.col("object_type").isNull() | (F.col("object_type") == "UDF"), "unsupported object")
+        .when(kind.isNull() | (kind == "UDF"), "unsupported object")
         .when(first_only & unnamed, "no database or table")
-        .when(
-            F.exists("validity_schedules", lambda v: v.isNull()) | F.exists("_ends", lambda e: e.isNull()),
-            "bad schedule",
-        )
+        .alias("_reason"),
     )
-    return typed.withColumns({
-        "reject_reason": reason,
-        "policy_id": F.coalesce("doc.id", F.lit(0)),
-        "policy_name": or_empty(F.col("doc.name")),
-        "is_enable": F.coalesce("doc.isEnabled", F.lit(False)),
-        "is_override": F.coalesce("doc.policyPriority", F.lit(0)) != 0,
+    bad_schedule = F.exists("validity_schedules", lambda v: v.isNull()) | F.exists("_ends", lambda e: e.isNull())
+    return slim.withColumns({
         "_expired": is_expired(as_of),
+        "reject_reason": F.coalesce("_reason", F.when(bad_schedule, "bad schedule")),
     })
 
 
@@ -290,7 +298,9 @@ def _good(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def policy_rejects(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNotNull()).select(*bodies.columns, "reject_reason")
+    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNotNull()).select(
+        *[f"`{c}`" for c in bodies.columns if c != "doc"], "reject_reason"
+    )
 
 
 def policy_object_types(bodies: DataFrame) -> DataFrame:
@@ -313,7 +323,7 @@ def policy_expired(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def _with_items(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    rows = unnest(_good(bodies, as_of), policy_items(), "_item")
+    rows = unnest(_good(bodies, as_of), F.col("_items"), "_item")
     return rows.withColumns({
         "permission_type": F.col("_item.permission_type"),
         "permission": F.col("_item.permission"),

@@ -49,9 +49,9 @@ def test_bad_date_and_columns(spark):
 
 LOCATIONS = [
     ("/ext/tbl_1", "Ext.T1"), ("/ext/tbl_12", "Ext.T12"), ("/EXT/other", "Ext.Other.more"), ("/ext/z[0-9]+", "Ext.Z"),
-    ("/nodot", "nodot"), ("/ext/same", "A.b"), ("/ext/same", "B.a"),
+    ("/nodot", "nodot"), ("/w.db/t", "Dot.T"), ("/ext/same", "A.b"), ("/ext/same", "B.a"),
 ]
-NAMES = ["/ext/tbl_1/f", "/ext/tbl_12/f", "/ext/tbl_123/f", "/x/ext/OTHER/f", "/ext/z77/f", "/nodot/f", "/ext/same/f", "/ext/none"]
+NAMES = ["/ext/tbl_1/f", "/ext/tbl_12/f", "/ext/tbl_123/f", "/x/ext/OTHER/f", "/ext/z77/f", "/nodot/f", "/a/W-DB/T", "/a/wdb/t", "/EXT/\u017fame", "/ext/same/f", "/ext/none"]
 
 
 @pytest.mark.parametrize("limit", [inventory.PLAN_PATTERNS, 0])
@@ -62,7 +62,7 @@ def test_pattern_routes_agree(spark, limit):
     assert len(found) == 3 * len(NAMES)
     assert dict(found) == {
         "/ext/tbl_1/f": "Ext.T1", "/ext/tbl_12/f": "Ext.T12", "/ext/tbl_123/f": "Ext.T12", "/x/ext/OTHER/f": "Ext.Other.more",
-        "/ext/z77/f": "Ext.Z", "/nodot/f": None, "/ext/same/f": "A.b", "/ext/none": None,
+        "/ext/z77/f": "Ext.Z", "/nodot/f": None, "/a/W-DB/T": "Dot.T", "/a/wdb/t": None, "/EXT/\u017fame": "A.b", "/ext/same/f": "A.b", "/ext/none": None,
     }
     owned = {r["name"]: r for r in inventory.match_locations(rows, places).collect()}
     assert owned["/x/ext/OTHER/f"]["tbl_name"] == "Other" and owned["/x/ext/OTHER/f"]["is_table"]
