@@ -12,6 +12,9 @@ from ..functions.text import or_empty, trim_ws
 # Blank characters of the statement text.
 _S = r"[ \t\n\f\r]"
 
+# A run of blanks, entered only at its start: tried from every blank, long runs take quadratic time.
+_RUN = rf"(?<!{_S}){_S}++"
+
 _DOTTED_TYPES = ("TABLE", "VIEW", "MATERIALIZED VIEW", "FUNCTION")
 _POLICY_TYPES = ("MASKING POLICY", "ROW ACCESS POLICY")
 
@@ -48,11 +51,11 @@ def parse_grants(grants: DataFrame) -> DataFrame:
     Works in a few projections: statement parts, object type, names.
     """
     statement = or_empty(F.col("grant_sql"))
-    body = F.regexp_replace(F.regexp_replace(statement, "(?i)^GRANT", ""), rf"(?is){_S}+TO{_S}+.*\z", "")
+    body = F.regexp_replace(F.regexp_replace(statement, "(?i)^GRANT", ""), rf"(?is){_RUN}TO{_S}+.*\z", "")
     identity = F.split(trim_ws(_unquoted(or_empty(F.col("user_identity")))), "@")
     parts = grants.withColumn("_body", body).withColumn("_identity", identity)
-    parts = parts.withColumn("_tail", F.regexp_extract("_body", rf"(?is){_S}+ON{_S}+.*\z", 0)).withColumn(
-        "_head", F.regexp_replace("_body", rf"(?is){_S}+ON{_S}+.*\z", "")
+    parts = parts.withColumn("_tail", F.regexp_extract("_body", rf"(?is){_RUN}ON{_S}+.*\z", 0)).withColumn(
+        "_head", F.regexp_replace("_body", rf"(?is){_RUN}ON{_S}+.*\z", "")
     )
     plurals = names_array([_plural(t) for t in GRANT_OBJECT_TYPES])
     typed = parts.withColumn("_plural", _squeezed(F.regexp_extract("_tail", _ALL, 1))).withColumn(
@@ -84,11 +87,11 @@ def _grantee() -> dict[str, Column]:
 
 def _scope(text: Column) -> Column:
     """Database an ``IN ...`` clause names."""
-    named = trim_ws(F.regexp_replace(text, rf"(?i)(?:IN{_S}+DATABASE|')", ""))
-    return F.when(text.rlike(rf"(?i)ALL{_S}+DATABASES"), "ALL DATABASES").otherwise(named)
+    named = trim_ws(F.regexp_replace(text, rf"(?i)(?:IN{_S}++DATABASE|')", ""))
+    return F.when(text.rlike(rf"(?i)ALL{_S}++DATABASES"), "ALL DATABASES").otherwise(named)
 
 
-_IN_TAIL = rf"(?is){_S}+IN{_S}.*\z"
+_IN_TAIL = rf"(?is){_RUN}IN{_S}.*\z"
 
 
 def _object_names() -> dict[str, Column]:

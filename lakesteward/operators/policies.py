@@ -87,7 +87,7 @@ def scan_policies(bodies: DataFrame, service_types: Sequence[str] = ()) -> DataF
 def policies_by_id(policies: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
     """Policies with the given ids: a list, or a table with an ``id`` column."""
     if isinstance(ids, DataFrame):
-        return policies.join(ids.select("id"), "id", "left_semi")
+        return policies.join(ids.select("id").distinct(), "id", "left_semi")
     if not ids:
         raise ValueError("id list can not be empty")
     return policies.where(F.col("id").isin(list(ids)))
@@ -235,11 +235,13 @@ def policy_items() -> Column:
 
 def item_grantees(item: Column) -> Column:
     """Users, groups and roles of an item; a list of exactly one blank name names nobody."""
-    def of(kind: str, field: str) -> Column:
-        names = F.transform(item[field], lambda n: trim_ws(or_empty(n)))
+    def named(names: Column) -> Column:
         nobody = (F.size(names) == 1) & (F.get(names, F.lit(0)) == "")
-        kept = F.when(nobody, _texts()).otherwise(names)
-        return F.transform(kept, lambda n: F.struct(F.lit(kind).alias("grantee_type"), n.alias("grantee")))
+        return F.when(nobody, _texts()).otherwise(names)
+
+    def of(kind: str, field: str) -> Column:
+        names = bind(F.transform(item[field], lambda n: trim_ws(or_empty(n))), named)
+        return F.transform(names, lambda n: F.struct(F.lit(kind).alias("grantee_type"), n.alias("grantee")))
 
     return F.concat(of("USER", "users"), of("GROUP", "groups"), of("ROLE", "roles"))
 

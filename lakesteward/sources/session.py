@@ -29,12 +29,14 @@ def build_session(app: str, master: str | None = None, cores: int | None = None)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only where the setting is missing (a bare local session) is a folder of our
-    own set.
+    A local session without the setting gets a folder of its own; a cluster must
+    name one, since a machine's own folder would be lost with the machine.
     """
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors see")
         folder = tempfile.mkdtemp(prefix="lakesteward-")
         sc.setCheckpointDir(folder)
     return folder

@@ -46,3 +46,21 @@ def test_rejects(spark, sql):
 def test_grantees(spark):
     rows = grants.grant_grantees(frame(spark, *[(w, "GRANT a TO b") for w in ("'u'@'%'", " r ", "a@b@c")])).orderBy("grant_id")
     assert [tuple(r)[1:] for r in rows.collect()] == [("USER", "u", "%"), ("ROLE", "r", ""), ("", "", "")]
+
+
+def test_long_blanks_and_lists(spark):
+    blanks = " " * 200_000
+    many = ", ".join(["SELECT"] * 50_000)
+    rows = grants.grant_flat(frame(
+        spark, ("r", f"GRANT SELECT{blanks}ON TABLE a.b TO ROLE r"), ("r", f"GRANT {many} ON TABLE a.b{blanks}TO ROLE r"),
+        ("r", f"GRANT SELECT ON TABLE a.b{blanks}"),
+    )).collect()
+    assert [r["permissions"] for r in rows] == [["SELECT"]] * 3
+
+
+def test_good_and_rejects_cover_the_input(spark, sf_dir):
+    from lakesteward.plans.fixtures import fixture
+
+    rows = fixture(spark, sf_dir, "grants").unionByName(frame(spark, ("r", "GRANT SELECT ON TABLE nodot TO r"), (None, None)))
+    assert grants.grant_flat(rows).count() + grants.grant_rejects(rows).count() == rows.count()
+    assert grants.grant_rejects(rows).count() == 1

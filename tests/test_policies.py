@@ -133,3 +133,15 @@ def test_one_scan_no_shuffle(spark, sf_dir):
 
     plan = policies.policy_flat(fixture(spark, sf_dir, "policies"), AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1 and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_rows_do_not_depend_on_partitions(spark, sf_dir, partitions):
+    from lakesteward.plans.fixtures import fixture
+
+    rows = fixture(spark, sf_dir, "policies")
+    split = policies.policy_flat(rows.repartition(partitions), AS_OF)
+    whole = policies.policy_flat(rows, AS_OF)
+    assert split.exceptAll(whole).count() == 0 and split.count() == whole.count()
+    kept = policies.policy_expired(rows, AS_OF).count()
+    assert kept + policies.policy_rejects(rows, AS_OF).count() == rows.count()
