@@ -73,12 +73,12 @@ def default_catalog(catalog: Column, default: str | None = None) -> Column:
 
 
 def _replaced(text: Column, needles: Sequence[str], pattern: str, new: str = " ") -> Column:
-    """Pattern replacement that is skipped for texts without any of the needles."""
+    """Pattern replacement, skipped for texts that lack one of the needles."""
     def step(t: Column) -> Column:
-        needed = F.lit(False)
-        for needle in needles:
-            needed = needed | F.contains(t, F.lit(needle))
-        return F.when(needed, F.regexp_replace(t, pattern, new)).otherwise(t)
+        held = F.contains(t, F.lit(needles[0]))
+        for needle in needles[1:]:
+            held = held & F.contains(t, F.lit(needle))
+        return F.when(held, F.regexp_replace(t, pattern, new)).otherwise(t)
 
     return bind(text, step)
 
@@ -90,7 +90,8 @@ def _without_blank_lines(text: Column) -> Column:
 
 def clean_text(query: Column, drop_literals: bool = True) -> Column:
     """Statement without comments, blank lines and (on request) quoted literals."""
-    text = _replaced(or_empty(query), ["/*", "\\n"], r"(?s)\\n|/\*.*?\*/", "\n")
+    text = F.replace(or_empty(query), F.lit("\\n"), F.lit("\n"))
+    text = _replaced(text, ["/*", "*/"], r"(?s)/\*.*?\*/", "\n")
     if drop_literals:
         text = _replaced(text, ["'"], r"'[^\\'\n]*+(?:\\[^\n][^\\'\n]*+)*+'")
         text = _replaced(text, ['"'], r'"[^\\"\n]*+(?:\\[^\n][^\\"\n]*+)*+"')
