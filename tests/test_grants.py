@@ -64,3 +64,10 @@ def test_good_and_rejects_cover_the_input(spark, sf_dir):
     rows = fixture(spark, sf_dir, "grants").unionByName(frame(spark, ("r", "GRANT SELECT ON TABLE nodot TO r"), (None, None)))
     assert grants.grant_flat(rows).count() + grants.grant_rejects(rows).count() == rows.count()
     assert grants.grant_rejects(rows).count() == 1
+
+
+def test_no_shuffle_and_one_scan(spark, sf_dir):
+    from lakesteward.plans.fixtures import fixture
+
+    plan = grants.grant_flat(fixture(spark, sf_dir, "grants"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1 and plan.count("FileScan") == 1

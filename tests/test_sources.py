@@ -130,3 +130,11 @@ def test_user_lookup(spark):
     users = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 3, 1)], "name string, id int, seq int")
     names = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
     assert dict(user_lookup(names, users, "seq").collect()) == {"a": 2, "b": 3, "c": 0}
+
+
+def test_spread_only_touches_small_inputs(spark, sf_dir):
+    small = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert readers.spread(small).rdd.getNumPartitions() == cores
+    assert readers.spread(small, 0).rdd.getNumPartitions() == small.rdd.getNumPartitions() == 1
+    assert readers.spread(small).count() == small.count()
