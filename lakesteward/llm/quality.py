@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import keep_where
 from .tables import BLANKS, free_name, text_or_empty
 
 WINDOW = 5
@@ -137,5 +138,6 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     whole = free_name(docs, "_row")
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.col("text").alias("_text"))
     judged = _metrics(held, "_text").withColumns({"_failed": base_failed(), "_broken": broken_rules(rules)})
-    kept = judged.where(~F.col("_failed") & (F.size("_broken") == 0))
+    # Not a plain filter: Catalyst would copy all measures into it, many times over.
+    kept = keep_where(judged, ~F.col("_failed") & (F.size("_broken") == 0))
     return kept.select(*[F.col(whole)[c].alias(c) for c in docs.columns])
