@@ -7,8 +7,8 @@ Two registers agree with probability J_P, the probability Jaccard of the weights
 
 Bands of registers bring texts together. In each bucket the text that meets the most
 others is the hub; every other member is compared with it, on whole texts. What the links so found
-leave in different classes of one bucket is compared too, where the one-bit sketches
-of all registers allow a similarity near the limit. So a group of copies costs a star
+leave in different classes of one bucket is compared too, where sketches of all
+registers (a byte of each) allow a similarity near the limit: first the nearest, then all others. So a group of copies costs a star
 and not all its pairs, and no pair that meets in a bucket is left out.
 
 Texts are linked if J_P or the plain Jaccard of their shingle sets is 0.8 or more (the
@@ -38,9 +38,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
-SKETCH_WORDS = 3
-# At a similarity of 0.8 sketch bits agree with probability 0.9; this is over five deviations below.
-SKETCH_AGREE = int(64 * SKETCH_WORDS * 0.78)
+# A sketch keeps the low byte of every register. At a similarity of 0.8 over 173 of 216 agree; this is four deviations below.
+SKETCH_AGREE = 149
+NEAREST = 4
+ASKING = 1000
 ARRIVALS = 1 << 15
 HUB_COPIES = 500
 
@@ -112,8 +113,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((rows, BANDS), np.uint64)
             for k in range(ROWS):
                 total = mix(total + bands[:, :, k] + np.arange(BANDS, dtype=np.uint64))
-            bits = (found[:, :64 * SKETCH_WORDS] & np.uint64(1)).reshape(rows, SKETCH_WORDS, 64)
-            sketch = (bits << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+            sketch = pa.array([row.tobytes() for row in (found & np.uint64(255)).astype(np.uint8)], pa.binary())
             empty = pa.array(counts == 0)
 
             def lists(values: np.ndarray, width: int) -> pa.Array:
@@ -121,7 +121,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1).view(np.int64)), mask=empty)
 
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, rows), batch.column(1).slice(low, rows), lists(total, BANDS), lists(sketch, SKETCH_WORDS)],
+                [batch.column(0).slice(low, rows), batch.column(1).slice(low, rows), lists(total, BANDS), sketch],
                 names=["doc_id", "node", "bands", "sketch"],
             )
 
@@ -172,7 +172,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified pairs of ``hub, member``. A hub's text is copied once for each HUB_COPIES members."""
-    copies = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_COPIES).cast("int").alias("copies"))
+    # Written first, so that the join back to the pairs of a hub with very many members can be split.
+    copies = cut(pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_COPIES).cast("int").alias("copies")))
     hubs = join_on(copies.withColumnRenamed("hub", "node"), texts, ["node"]).select(
         F.col("node").alias("hub"), F.col("text").alias("hub_text"), "copies",
         F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"),
@@ -188,7 +189,7 @@ def near_copy_nodes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select("doc_id", fingerprint("text").alias("node"), text_or_empty("text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = narrow.mapInArrow(_signed, f"doc_id {id_type}, node binary, bands array<long>, sketch array<long>")
+    signed = narrow.mapInArrow(_signed, f"doc_id {id_type}, node binary, bands array<long>, sketch binary")
     path = scratch_path(spark, "signatures")
     signed.write.parquet(path)
     signed = spark.read.schema(signed.schema).parquet(path)
@@ -214,34 +215,90 @@ def near_copy_nodes(docs: DataFrame) -> DataFrame:
 
     links = cut(_links(pairs, texts))
     classes = components(links)
-    more = _left_apart(met, single, classes, pairs)
-    if not more.isEmpty():
-        links = cut(links.unionByName(_links(more, texts)))
-        classes = components(links)
+    # First the nearest texts of other classes, which joins most of what belongs together; then all that is left.
+    for nearest in (NEAREST, None):
+        more = _left_apart(met, single, classes, pairs, nearest)
+        if not more.isEmpty():
+            links = cut(links.unionByName(_links(more, texts)))
+            classes = components(links)
+            pairs = pairs.unionByName(more)
     named = join_on(nodes, classes.withColumnRenamed("u", "node"), ["node"], "left")
     named = named.withColumn("low", F.coalesce("low", "node"))
     least = named.groupBy("low").agg(F.min("doc_id").alias("class_id"))
     return join_on(named, least, ["low"])
 
 
-def _left_apart(met: DataFrame, single: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs ``hub, member`` that share a bucket, not a class, whose sketches allow a link, and that were not compared."""
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys out of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        edges = [0, *changes.tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            part = batch.slice(low, high - low)
+            if held and any(held[0].column(k)[0] != part.column(k)[0] for k in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _meetings(nearest: int | None):
+    """Pairs of one bucket in different classes whose sketches allow a link: of each asking text the nearest ones, or all."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["band", "value", "block"]):
+            group = group.combine_chunks()
+            asks = np.flatnonzero(group.column("asks").to_numpy())
+            if not len(asks):
+                continue
+            nodes = group.column("node").to_pylist()
+            _, low = np.unique(np.array(group.column("low").to_pylist(), dtype="S16"), return_inverse=True)
+            sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+            step = max(1, (1 << 22) // sketch.size)
+            u, v = [], []
+            for at in range(0, len(asks), step):
+                mine = asks[at:at + step]
+                agree = (sketch[mine][:, None, :] == sketch[None]).sum(axis=2, dtype=np.int16)
+                agree[low[mine][:, None] == low[None]] = 0
+                if nearest and agree.shape[1] > nearest:
+                    least = -np.partition(-agree, nearest - 1, axis=1)[:, nearest - 1]
+                    agree[agree < least[:, None]] = 0
+                i, j = np.nonzero(agree >= SKETCH_AGREE)
+                u += [nodes[mine[k]] for k in i]
+                v += [nodes[k] for k in j]
+            if u:
+                yield pa.RecordBatch.from_pydict({"x": pa.array(u, pa.binary()), "y": pa.array(v, pa.binary())})
+
+    return meet
+
+
+def _left_apart(met: DataFrame, single: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int | None) -> DataFrame:
+    """Pairs ``hub, member`` that share a bucket, not a class, whose sketches allow a link, and that were not compared.
+
+    Only texts outside the bucket's largest class ask. ASKING of them stand in one block, each block with
+    all texts of the bucket.
+    """
     placed = join_on(met, classes.withColumnRenamed("u", "node"), ["node"], "left")
-    placed = placed.withColumn("low", F.coalesce("low", "node"))
-    mixed = placed.groupBy("band", "value").agg(F.min("low").alias("first"), F.max("low").alias("last"))
-    mixed = mixed.where("first <> last").select("band", "value")
-    rows = join_on(placed, mixed, ["band", "value"]).select("band", "value", "node", "low")
-    rows = join_on(rows, single.select("node", "sketch"), ["node"])
-    sketch = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)]
-    rows = cut(rows.select("band", "value", "node", "low", *sketch))
-    a, b = rows.alias("a"), rows.toDF(*[f"_{c}" for c in rows.columns])
-    differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"_s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    close = differ <= 64 * SKETCH_WORDS - SKETCH_AGREE
-    found = a.join(
-        b, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))
-        & (F.col("node") < F.col("_node")) & (F.col("low") != F.col("_low")) & close,
-    ).select(F.col("node").alias("x"), F.col("_node").alias("y")).distinct()
-    known = pairs.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"))
+    placed = cut(placed.select("band", "value", "node", F.coalesce("low", "node").alias("low")))
+    sizes = placed.groupBy("band", "value", "low").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "low")).alias("major"), F.sum("n").alias("members"))
+    mixed = mixed.where("major.n < members").select(
+        "band", "value", F.col("major.low").alias("major"), F.ceil((F.col("members") - F.col("major.n")) / ASKING).cast("int").alias("blocks")
+    )
+    rows = join_on(placed, cut(mixed), ["band", "value"])
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asks = (F.col("low") != F.col("major")) & (F.pmod(F.xxhash64("node"), F.col("blocks")) == F.col("block"))
+    rows = join_on(rows.withColumn("asks", asks), single.select("node", "sketch"), ["node"])
+    dealt = rows.select("band", "value", "block", "node", "low", "asks", "sketch").repartition("band", "value", "block")
+    dealt = dealt.sortWithinPartitions("band", "value", "block")
+    found = dealt.mapInArrow(_meetings(nearest), "x binary, y binary")
+    found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    known = tried.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"))
     return cut(join_on(found, known, ["x", "y"], "left_anti").select(F.col("x").alias("hub"), F.col("y").alias("member")))
 
 
