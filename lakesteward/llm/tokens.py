@@ -20,6 +20,8 @@ are ignored.
 
 from __future__ import annotations
 
+import array
+import functools
 import io
 import re
 import uuid
@@ -38,10 +40,16 @@ SHARD_BYTES = 32 << 20
 INDEX_KEYS = 100_000
 LEVEL_BITS = 2
 MAX_LEVELS = 60
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 CACHED_CHARS = 64
 
 READ_BYTES = 4 << 20
+# Letters that neither case folding nor composition changes in number, and how byte-level models write them.
+LETTERS = "".join(c for c in map(chr, [*range(65, 91), *range(97, 123), *range(192, 256)]) if c.isalpha())
+SIMPLE = re.compile(f"([{LETTERS}]+)([.,;:!?%$#&*]*)").fullmatch
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in set(_SHOWN))}
+LETTER_BYTES = {ord(c): "".join(_WRITTEN[b] for b in c.encode()) for c in LETTERS if ord(c) > 127}
 MANIFEST = "shard int, file string, docs long, ids long"
 INDEX_FILES = "part int, parts int, file string, keys long"
 
@@ -51,11 +59,23 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
+class _Pieces(dict):
+    """Ids of known pieces; those of the present batch that are not kept stand beside them."""
+
+    def __init__(self):
+        super().__init__()
+        self.passing: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.passing[piece]
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes.
 
     ``independent`` says that the tokenizer drops white space and never joins what it
-    separates; then the pieces between blanks are encoded once each and remembered.
+    separates; then each piece between blanks is encoded once and the first CACHED_WORDS of them, the most
+    frequent ones among them, are remembered for all later texts.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int, independent: bool):
@@ -65,31 +85,69 @@ class Encoder:
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.type).tobytes()
         self.independent = independent
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces()
+        self.tokenize, self.signs = self.tokenizer.model.tokenize, {}
         self.split = re.compile(f"[^{BLANKS}]+").findall
+        # The short way is taken only if it gives what the whole tokenizer gives for all letters and signs.
+        self.code = "H" if self.type.itemsize == 2 else "I"
+        probes = [f"{c}{d}{s}" for c, d in zip(LETTERS, LETTERS[7:] + LETTERS) for s in ("", ".", "!?", "%", "$#&*", ",;:")]
+        self.direct = independent and [self._by_model(p) for p in probes] == self._encode(probes)
+
+    def _words(self, text: str) -> list[str]:
+        """Pieces between blanks. Other white space of Unicode may part them too, but for four signs that are none to the tokenizer."""
+        return self.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
+    def _by_model(self, piece: str) -> bytes | None:
+        """Ids of letters and then signs, straight from the model; None for other pieces."""
+        parts = SIMPLE(piece)
+        if not parts:
+            return None
+        letters, signs = parts.groups()
+        letters = letters.lower()
+        found = self.tokenize(letters if letters.isascii() else letters.translate(LETTER_BYTES))
+        ids = array.array(self.code, [t.id for t in found]).tobytes()
+        if signs:
+            tail = self.signs.get(signs)
+            if tail is None:
+                if len(self.signs) > 10_000:
+                    self.signs.clear()
+                tail = self.signs[signs] = array.array(self.code, [t.id for t in self.tokenize(signs)]).tobytes()
+            ids += tail
+        return ids
+
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        if self.direct:
+            make = self._by_model
+            out = {p: ids for p in pieces if (ids := make(p)) is not None}
+        rest = [p for p in pieces if p not in out]
+        out.update(zip(rest, self._encode(rest)))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.independent:
             return [ids + self.end for ids in self._encode(texts)]
-        return [self._joined(text) for text in texts]
-
-    def _joined(self, text: str) -> bytes:
-        words, known = self.split(text), self.pieces
-        new = [w for w in set(words) if w not in known]
-        once: dict[str, bytes] = {}
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for word, ids in zip(new, self._encode(new)):
-                (known if len(word) <= CACHED_CHARS else once)[word] = ids
-        if once:
-            known = {**{w: known[w] for w in set(words) if w in known}, **once}
-        return b"".join([*map(known.__getitem__, words), self.end])
+        words = [self._words(text) for text in texts]
+        known = self.pieces
+        new = list(set().union(*words).difference(known))
+        found = self._encode_pieces(new)
+        room = max(0, CACHED_WORDS - len(known))
+        known.passing = found
+        if room:
+            keep = [w for w in new if len(w) <= CACHED_CHARS][:room]
+            known.update({w: found[w] for w in keep})
+        end = self.end
+        return [b"".join([*map(known.__getitem__, ws), end]) for ws in words]
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(tokenizer_path: str, end_id: int, independent: bool) -> Encoder:
+    """One encoder for all tasks of a worker process."""
+    return Encoder(tokenizer_path, end_id, independent)
 
 
 def _shard_writer(path: str, make_encoder: Callable[[], Encoder]):
@@ -154,7 +212,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
     ordered = narrow.repartitionByRange(shards, F.col("_id").asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("_id").asc_nulls_first(), "text").select("text", "h1", "h2")
     written = ordered.mapInArrow(
-        _shard_writer(f"{path}/shards", lambda: Encoder(tokenizer_path, end_id, independent)),
+        _shard_writer(f"{path}/shards", lambda: _encoder(tokenizer_path, end_id, independent)),
         "kind string, h1 long, h2 long, shard int, file string, first_doc long, docs long, first_id long, ids long",
     )
     written.write.parquet(f"{path}/runs")
