@@ -82,4 +82,21 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
 FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source
 """
 
-ORACLE = {"op1_quality": QUALITY, "op2_mixing": MIXING}
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(regexp_replace(replace(role, chr(92), chr(92) || chr(92)), '[\[<](/?INST\]|/s>)', '\0+', 'g'))
+         + length(regexp_replace(replace(text, chr(92), chr(92) || chr(92)), '[\[<](/?INST\]|/s>)', '\0+', 'g')) + 17 AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLE = {"op1_quality": QUALITY, "op2_mixing": MIXING, "op8_chat": CHAT}
