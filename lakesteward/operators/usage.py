@@ -3,7 +3,9 @@
 A text scan by pattern, not a parser: every step is a column expression, so the
 log is read once, never shuffled, and the same code runs on a stream. All
 repeated groups in the patterns are possessive, because the JVM's regex engine
-recurses on plain ones and long statements would exhaust the stack.
+recurses on plain ones and long statements would exhaust the stack. No pattern
+reads on to the end of the text from each of many openings that nothing closes, so
+the time grows with the length of a statement and not with its square.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ _ALIAS = rf"(?:{_S}++as(?!{_WORD}))?+(?:{_S}++{_WORD}++|{_S}*+`[^`]++`)?+"
 _PATTERNS = {
     "FROM": rf"(?i){_START}from{_GAP}({_NAME})",
     "JOIN": rf"(?i){_START}join{_GAP}({_NAME})",
-    "WITH": rf"(?i)(?:with{_GAP}|,{_S}*+)({_IDENT})(?:{_S}*+\([^)]++\))?+{_S}++as{_S}*+\(",
-    "EXTRACT TIME": rf"(?i)extract{_S}*+\([^)]+from{_GAP}({_NAME})",
+    "WITH": rf"(?i)(?:with{_GAP}|,{_S}*+)({_IDENT})(?:{_S}*+\([^()]++\))?+{_S}++as{_S}*+\(",
+    # What stands in the brackets; the name after its last FROM is taken in a second step.
+    "EXTRACT TIME": rf"(?i)extract{_S}*+\(((?:[^)`]++|`[^`]++`|`)++)",
     "INSERT": rf"(?i)insert{_S}++(?:into|overwrite){_GAP}({_NAME})",
     "CREATE": rf"(?i)create{_S}++{_KIND}(?:{_S}++if{_S}++not{_S}++exists)?{_GAP}({_NAME})",
     "DROP": rf"(?i)drop{_S}++(?:temporary{_S}++)?+{_KIND}(?:{_S}++if{_S}++exists)?{_GAP}({_NAME})",
@@ -52,6 +55,7 @@ _NEEDLES = {
     "CREATE": ["create"], "DROP": ["drop"], "ALTER": ["alter"], "UPDATE": ["update"], "DELETE": ["delete"],
     "TRUNCATE": ["truncate"],
 }
+_LAST_FROM = rf"(?is)^.+from{_GAP}({_NAME})"
 # Second and later names of a comma list after FROM.
 _COMMA_LIST = rf"(?i){_START}from{_GAP}{_NAME}{_ALIAS}((?:{_S}*+,{_S}*+{_NAME}{_ALIAS})++)"
 _LISTED = rf"(?i),{_S}*+({_NAME})"
@@ -61,6 +65,9 @@ _PART = rf"(?:{_S}*+\.{_S}*+)?+(?:`([^`]++)`|([0-9_\p{{L}}]++))"
 _SET = rf"(?i){_START}set{_S}++catalog{_GAP}({_IDENT})"
 _USE = rf"(?i){_START}use{_GAP}({_IDENT}(?:{_S}*+\.{_S}*+{_IDENT})?+)"
 
+# Stands for a literal until open quotes are back; statements hold no such character.
+_MARK = "\x00"
+
 ACTIONS_OUT = ("DELETE", "SELECT", "ALTER", "CREATE", "DROP", "INSERT", "UPDATE", "TRUNCATE")
 
 
@@ -88,18 +95,34 @@ def _without_blank_lines(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\n")), kept).when(trim_ws(text) == "", "").otherwise(text)
 
 
+def _without_literals(text: Column, quote: str, stop: str = "") -> Column:
+    """Quoted literals as blanks; ``stop`` is what a literal cannot cross.
+
+    A quote that nothing closes is passed over with all it would hold, so that what is in it is not tried again.
+    """
+    inner = rf"[^\\{quote}{stop}]*+(?:\\[^\n][^\\{quote}{stop}]*+)*+"
+    marked = _replaced(text, [quote], rf"{quote}{inner}{quote}|({quote}{inner})", f"{_MARK}$1")
+    return F.replace(F.replace(marked, F.lit(_MARK + quote), F.lit(quote)), F.lit(_MARK), F.lit(" "))
+
+
+def _without_comments(text: Column) -> Column:
+    """Block comments as line ends. Behind the last comment end no opening is tried, for none can close."""
+    tail = F.substring_index(text, "*/", -1)
+    head = F.substring(text, F.lit(1), F.length(text) - F.length(tail))
+    cleaned = F.concat(F.regexp_replace(head, r"(?s)/\*.*?\*/", "\n"), tail)
+    return F.when(F.contains(text, F.lit("/*")) & F.contains(text, F.lit("*/")), cleaned).otherwise(text)
+
+
 def clean_text(query: Column, drop_literals: bool = True) -> Column:
     """Statement without comments, blank lines and (on request) quoted literals."""
     text = F.replace(or_empty(query), F.lit("\\n"), F.lit("\n"))
-    text = _replaced(text, ["/*", "*/"], r"(?s)/\*.*?\*/", "\n")
+    text = bind(text, _without_comments)
     if drop_literals:
-        text = _replaced(text, ["'"], r"'[^\\'\n]*+(?:\\[^\n][^\\'\n]*+)*+'")
-        text = _replaced(text, ['"'], r'"[^\\"\n]*+(?:\\[^\n][^\\"\n]*+)*+"')
+        text = _without_literals(_without_literals(text, "'", "\\n"), '"', "\\n")
     text = _replaced(text, ["--"], r"--[^\n]*+")
     text = bind(text, _without_blank_lines)
     if drop_literals:
-        text = _replaced(text, ["'"], r"'[^\\']*+(?:\\[^\n][^\\']*+)*+'")
-        text = _replaced(text, ['"'], r'"[^\\"]*+(?:\\[^\n][^\\"]*+)*+"')
+        text = _without_literals(_without_literals(text, "'"), '"')
     return text
 
 
@@ -172,6 +195,9 @@ def table_names(action: str, text: Column, lower: Column, signs: Sequence[str] =
         lists = _guarded(text, lower, ["from", ","], _COMMA_LIST)
         listed = F.flatten(F.transform(lists, lambda t: F.regexp_extract_all(t, F.lit(_LISTED), F.lit(1))))
         found = F.concat(listed, found)
+    if action == "EXTRACT TIME":
+        last = F.transform(found, lambda t: F.regexp_extract(t, _LAST_FROM, 1))
+        found = F.filter(last, lambda name: name != "")
     names = _canonical(found)
     return list_drop_matching(names, [s.lower() for s in signs]) if signs else names
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from lakesteward.operators import usage
@@ -102,3 +104,22 @@ def test_no_shuffle_and_one_scan(spark, sf_dir):
 
     plan = usage.log_usage(fixture(spark, sf_dir, "querylog"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1 and plan.count("FileScan") == 1 and plan.count("Generate posexplode") == 1
+
+
+HARD = {
+    "extract": "extract(year ", "extract_from": "extract(a from ", "comment": "/* a ", "columns": ", b (y ", "quotes": "'a ", "back": "`a from ", "from": "from a, ",
+    "double": '"x ', "escaped": "\\' ", "join": "join `a ", "with": "with a as ", "closed": "/*/ x */ ", "dashes": "-- a ",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_long_texts_take_time_in_proportion(spark, name):
+    """A megabyte of openings that nothing closes stays quick, so the work cannot grow with the square."""
+    took = []
+    for size in (250_000, 1_000_000):
+        text = ("x */ " if name == "comment" else "") + HARD[name] * (size // len(HARD[name]))
+        rows = log(spark, text)
+        start = time.perf_counter()
+        usage.log_usage(rows).collect()
+        took.append(time.perf_counter() - start)
+    assert took[1] < 5 + 6 * took[0], took
