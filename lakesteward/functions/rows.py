@@ -9,6 +9,8 @@ through one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,16 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("_keep", F.explode_outer(F.array(condition))).where("_keep").drop("_keep")
 
 
+def settle(df: DataFrame, inside: Sequence[str]) -> DataFrame:
+    """The same rows and columns; filters that follow read the ``inside`` columns instead of repeating how they are made.
+
+    Filters on other columns still reach the scan.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in inside]
+    held = df.select(*kept, F.explode_outer(F.array(F.struct(*[F.col(f"`{c}`") for c in inside]))).alias("_settled"))
+    return held.select(*[F.col("_settled")[c].alias(c) if c in inside else F.col(f"`{c}`") for c in df.columns])
+
+
 def unnest(df: DataFrame, array: Column, name: str) -> DataFrame:
     """One row per element; elements must not be NULL."""
     return df.withColumn(name, F.explode_outer(array)).where(F.col(name).isNotNull())

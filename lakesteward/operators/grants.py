@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.enums import GRANT_OBJECT_TYPES, PRIVILEGES, names_array
-from ..functions.rows import keep_where, unnest_placed
+from ..functions.rows import settle, unnest_placed
 from ..functions.text import or_empty, trim_ws
 
 # Blank characters of the statement text.
@@ -138,8 +138,15 @@ def _permissions() -> Column:
     return F.when(F.col("object_type") == "ROLE", roles).otherwise(known)
 
 
+def _settled(grants: DataFrame) -> DataFrame:
+    """Parsed statements; filters on any column of theirs do not parse again."""
+    parsed = parse_grants(grants)
+    made = [c for c in (*FLAT_COLUMNS, "reject_reason") if c not in grants.columns]
+    return settle(parsed.select(*[f"`{c}`" for c in grants.columns], *made), made)
+
+
 def _good(grants: DataFrame) -> DataFrame:
-    return keep_where(parse_grants(grants), F.col("reject_reason").isNull())
+    return _settled(grants).where("reject_reason is null")
 
 
 def grant_grantees(grants: DataFrame) -> DataFrame:
@@ -165,4 +172,4 @@ def grant_flat(grants: DataFrame) -> DataFrame:
 
 
 def grant_rejects(grants: DataFrame) -> DataFrame:
-    return keep_where(parse_grants(grants), F.col("reject_reason").isNotNull()).select(*grants.columns, "reject_reason")
+    return _settled(grants).where("reject_reason is not null").select(*grants.columns, "reject_reason")

@@ -12,6 +12,7 @@ from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import settle
 from ..functions.text import or_empty
 from ..sources.session import cut
 
@@ -37,6 +38,7 @@ LEVEL_COLUMNS = [f"extend_level{k}_name" for k in range(LEVELS + 1)]
 SLIM_COLUMNS = [
     "name", "path_level", *LEVEL_COLUMNS, "table_name", "db_name", "tbl_name", "type", "size",
 ]
+OWNER_COLUMNS = ("table_name", "db_name", "tbl_name", "is_table")
 FULL_COLUMNS = [
     *SLIM_COLUMNS, "atime", "mtime", "ctime", "acl", "user", "group", "is_table", "dt",
 ]
@@ -132,16 +134,17 @@ def inventory_full(listing: DataFrame, locations: DataFrame | None = None) -> Da
         matched = listing.withColumn("_table", F.lit(None).cast("string"))
     else:
         matched = attach_pattern_owner(listing, locations)
-    return _owned(matched).select(
+    owned = _owned(matched).select(
         "name", *path_level_columns(), *_owner_columns(), *type_columns(),
         *[or_empty(F.col(c)).alias(c) for c in ("atime", "mtime", "ctime", "acl", "user", "group")],
         F.try_to_date("dt", "yyyy-MM-dd").alias("dt"),
-    ).select(*FULL_COLUMNS)
+    )
+    return settle(owned, OWNER_COLUMNS).select(*FULL_COLUMNS)
 
 
 def match_locations(listing: DataFrame, locations: DataFrame) -> DataFrame:
     """Owning table of every row by pattern search, with the convention as fallback."""
-    return _owned(attach_pattern_owner(listing, locations)).select("name", *_owner_columns())
+    return settle(_owned(attach_pattern_owner(listing, locations)).select("name", *_owner_columns()), OWNER_COLUMNS)
 
 
 def match_location_prefixes(listing: DataFrame, locations: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.enums import POLICY_OBJECT_TYPES, SERVICE_TYPES, names_array
-from ..functions.rows import keep_where, unnest, unnest_placed
+from ..functions.rows import settle, unnest, unnest_placed
 from ..functions.text import bind, or_empty, trim_ws
 from ..sources.schemas import POLICY
 
@@ -81,7 +81,7 @@ def scan_policies(bodies: DataFrame, service_types: Sequence[str] = ()) -> DataF
     """Documents of the given service types, or of all known ones. Unknown types are ignored."""
     wanted = [s.lower() for s in service_types or SERVICE_TYPES]
     wanted = [s for s in wanted if s in SERVICE_TYPES]
-    return parse_policies(bodies).where(F.lower("doc.serviceType").isin(wanted))
+    return settle(parse_policies(bodies), ["doc"]).where(F.lower("doc.serviceType").isin(wanted))
 
 
 def policies_by_id(policies: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
@@ -289,18 +289,19 @@ def _typed(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
         .alias("_reason"),
     )
     bad_schedule = F.exists("validity_schedules", lambda v: v.isNull()) | F.exists("_ends", lambda e: e.isNull())
-    return slim.withColumns({
+    judged = slim.withColumns({
         "_expired": is_expired(as_of),
         "reject_reason": F.coalesce("_reason", F.when(bad_schedule, "bad schedule")),
     })
+    return settle(judged, [c for c in judged.columns if c not in bodies.columns])
 
 
 def _good(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNull())
+    return _typed(bodies, as_of).where("reject_reason is null")
 
 
 def policy_rejects(bodies: DataFrame, as_of: datetime | Column) -> DataFrame:
-    return keep_where(_typed(bodies, as_of), F.col("reject_reason").isNotNull()).select(
+    return _typed(bodies, as_of).where("reject_reason is not null").select(
         *[f"`{c}`" for c in bodies.columns if c != "doc"], "reject_reason"
     )
 
