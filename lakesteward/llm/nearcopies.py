@@ -8,7 +8,7 @@ Two registers agree with probability J_P, the probability Jaccard of the weights
 Bands of registers bring texts together. In each bucket the text that meets the most
 others is the hub; every other member is compared with it, on whole texts. What the links so found
 leave in different classes of one bucket is compared too, where sketches of all
-registers (a byte of each) allow a similarity near the limit: first the nearest, then all others. So a group of copies costs a star
+registers (a byte of each) allow a similarity near the limit. So a group of copies costs a star
 and not all its pairs, and no pair that meets in a bucket is left out.
 
 Texts are linked if J_P or the plain Jaccard of their shingle sets is 0.8 or more (the
@@ -40,8 +40,8 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 # A sketch keeps the low byte of every register. At a similarity of 0.8 over 173 of 216 agree; this is four deviations below.
 SKETCH_AGREE = 149
-NEAREST = 4
-ASKING = 1000
+ASKING = 500
+ANSWERING = 4000
 ARRIVALS = 1 << 15
 HUB_COPIES = 500
 
@@ -215,13 +215,9 @@ def near_copy_nodes(docs: DataFrame) -> DataFrame:
 
     links = cut(_links(pairs, texts))
     classes = components(links)
-    # First the nearest texts of other classes, which joins most of what belongs together; then all that is left.
-    for nearest in (NEAREST, None):
-        more = _left_apart(met, single, classes, pairs, nearest)
-        if not more.isEmpty():
-            links = cut(links.unionByName(_links(more, texts)))
-            classes = components(links)
-            pairs = pairs.unionByName(more)
+    more = cut(_left_apart(met, single, classes, texts))
+    if not more.isEmpty():
+        classes = components(links.unionByName(more))
     named = join_on(nodes, classes.withColumnRenamed("u", "node"), ["node"], "left")
     named = named.withColumn("low", F.coalesce("low", "node"))
     least = named.groupBy("low").agg(F.min("doc_id").alias("class_id"))
@@ -247,59 +243,92 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _meetings(nearest: int | None):
-    """Pairs of one bucket in different classes whose sketches allow a link: of each asking text the nearest ones, or all."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _grouped(batches, ["band", "value", "block"]):
-            group = group.combine_chunks()
-            asks = np.flatnonzero(group.column("asks").to_numpy())
-            if not len(asks):
-                continue
-            nodes = group.column("node").to_pylist()
-            _, low = np.unique(np.array(group.column("low").to_pylist(), dtype="S16"), return_inverse=True)
-            sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            step = max(1, (1 << 22) // sketch.size)
-            u, v = [], []
-            for at in range(0, len(asks), step):
-                mine = asks[at:at + step]
-                agree = (sketch[mine][:, None, :] == sketch[None]).sum(axis=2, dtype=np.int16)
-                agree[low[mine][:, None] == low[None]] = 0
-                if nearest and agree.shape[1] > nearest:
-                    least = -np.partition(-agree, nearest - 1, axis=1)[:, nearest - 1]
-                    agree[agree < least[:, None]] = 0
-                i, j = np.nonzero(agree >= SKETCH_AGREE)
-                u += [nodes[mine[k]] for k in i]
-                v += [nodes[k] for k in j]
-            if u:
-                yield pa.RecordBatch.from_pydict({"x": pa.array(u, pa.binary()), "y": pa.array(v, pa.binary())})
-
-    return meet
-
-
-def _left_apart(met: DataFrame, single: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int | None) -> DataFrame:
-    """Pairs ``hub, member`` that share a bucket, not a class, whose sketches allow a link, and that were not compared.
-
-    Only texts outside the bucket's largest class ask. ASKING of them stand in one block, each block with
-    all texts of the bucket.
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between texts of one cell that stand in different classes.
+
+    Each asking text meets the answering ones by falling agreement of the sketches, on whole texts, and passes
+    over classes that are already joined with its own. A pair that shares several buckets meets in the first.
+    """
+    for group in _grouped(batches, ["band", "value", "a", "m"]):
+        asks, answers = (np.flatnonzero(group.column(c).to_numpy()) for c in ("asks", "answers"))
+        if not len(asks) or not len(answers):
+            continue
+        group = group.combine_chunks()
+        band = group.column("band")[0].as_py()
+        nodes, low = group.column("node").to_pylist(), group.column("low").to_pylist()
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        bands = group.column("bands").combine_chunks().values.to_numpy().reshape(-1, BANDS)
+        keys, times, _ = shingles(group.column("text").combine_chunks())
+        first = np.searchsorted(keys, np.arange(len(nodes) + 1, dtype=np.uint64) << np.uint64(48))
+        parts = [(keys[x:y] & np.uint64((1 << 48) - 1), 1.0 + np.log(times[x:y])) for x, y in zip(first, first[1:])]
+        root = {c: c for c in low}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        u, v = [], []
+        for i in asks.tolist():
+            agree = (sketch[answers] == sketch[i]).sum(axis=1)
+            near = np.flatnonzero(agree >= SKETCH_AGREE)
+            for j in answers[near[np.argsort(-agree[near], kind="stable")]].tolist():
+                mine, other = find(low[i]), find(low[j])
+                if mine == other or int((bands[i] == bands[j]).argmax()) != band:
+                    continue
+                if _one_link(*parts[i], *parts[j]):
+                    root[other] = mine
+                    u.append(nodes[i])
+                    v.append(nodes[j])
+        if u:
+            yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
+
+def _one_link(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    if not shared:
+        return False
+    if shared >= SIMILARITY * (len(a) + len(b) - shared):
+        return True
+    repeats = p.max() > 1 or q.max() > 1
+    return bool(repeats and _probability_jaccard(a, p, b, q) >= SIMILARITY)
+
+
+def _left_apart(met: DataFrame, single: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``u, v`` between texts that share a bucket and not a class.
+
+    Texts outside the bucket's largest class ask, all texts answer. A cell has at most about ASKING
+    asking and ANSWERING answering texts, so a large bucket is many cells.
     """
     placed = join_on(met, classes.withColumnRenamed("u", "node"), ["node"], "left")
     placed = cut(placed.select("band", "value", "node", F.coalesce("low", "node").alias("low")))
     sizes = placed.groupBy("band", "value", "low").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "low")).alias("major"), F.sum("n").alias("members"))
     mixed = mixed.where("major.n < members").select(
-        "band", "value", F.col("major.low").alias("major"), F.ceil((F.col("members") - F.col("major.n")) / ASKING).cast("int").alias("blocks")
+        "band", "value", F.col("major.low").alias("major"),
+        F.ceil((F.col("members") - F.col("major.n")) / ASKING).cast("int").alias("across"),
+        F.ceil(F.col("members") / ANSWERING).cast("int").alias("down"),
     )
     rows = join_on(placed, cut(mixed), ["band", "value"])
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asks = (F.col("low") != F.col("major")) & (F.pmod(F.xxhash64("node"), F.col("blocks")) == F.col("block"))
-    rows = join_on(rows.withColumn("asks", asks), single.select("node", "sketch"), ["node"])
-    dealt = rows.select("band", "value", "block", "node", "low", "asks", "sketch").repartition("band", "value", "block")
-    dealt = dealt.sortWithinPartitions("band", "value", "block")
-    found = dealt.mapInArrow(_meetings(nearest), "x binary, y binary")
-    found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    known = tried.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"))
-    return cut(join_on(found, known, ["x", "y"], "left_anti").select(F.col("x").alias("hub"), F.col("y").alias("member")))
+    own_a = F.pmod(F.xxhash64("node"), F.col("across")).cast("int")
+    own_m = F.pmod(F.xxhash64("node", F.lit(1)), F.col("down")).cast("int")
+    rows = rows.withColumns({"minor": F.col("low") != F.col("major"), "own_a": own_a, "own_m": own_m})
+
+    def cell(a, m, asks, answers):
+        return F.struct(a.alias("a"), m.alias("m"), asks.alias("asks"), answers.alias("answers"))
+
+    answering = F.transform(
+        F.sequence(F.lit(0), F.col("across") - 1), lambda a: cell(a, F.col("own_m"), F.col("minor") & (a == F.col("own_a")), F.lit(True))
+    )
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("down") - 1), lambda m: F.col("minor") & (m != F.col("own_m")))
+    asking = F.transform(elsewhere, lambda m: cell(F.col("own_a"), m, F.lit(True), F.lit(False)))
+    rows = rows.select("band", "value", "node", "low", F.concat(answering, asking).alias("cells"))
+    rows = join_on(join_on(rows, single.select("node", "bands", "sketch"), ["node"]), texts, ["node"])
+    rows = rows.withColumn("cell", F.explode("cells")).select(
+        "band", "value", "cell.a", "cell.m", "cell.asks", "cell.answers", "node", "low", "sketch", "bands", "text"
+    )
+    cells = ["band", "value", "a", "m"]
+    return rows.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(_meet, "u binary, v binary")
 
 
 def near_copy_classes(docs: DataFrame) -> DataFrame:
