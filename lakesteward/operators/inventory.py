@@ -20,19 +20,22 @@ LEVELS = 6
 # Patterns up to this many (and this much text) are compiled into the plan.
 PLAN_PATTERNS = 512
 PLAN_PATTERN_CHARS = 256 * 1024
-PATTERNS_PER_BATCH = 256
 PATTERNS_PER_CASE = 64
 # Plain locations up to these sizes are broadcast.
 BROADCAST_LOCATIONS = 500_000
 BROADCAST_LOCATION_BYTES = 64 * 1024 * 1024
 BROADCAST_DEPTHS = 32
-SALTS = 32
+# A folder that more patterns share is no anchor.
+ANCHOR_PATTERNS = 64
 
 # Unicode case folding and "\n" as the only line end.
 _PATTERN_FLAGS = "(?iud)"
 
+# Dotless i and dotted capital I, and what stands for them in a search.
+_OWN_LETTERS = ("\u0131\u0130", "\ue000\ue001")
+
 # ASCII text without pattern signs other than the dot.
-_PLAIN_TEXT = re.compile(r"[A-Za-z0-9/_=:,@%~#&;<>! .-]*\Z")
+_PLAIN_TEXT = re.compile(r"^[A-Za-z0-9/_=:,@%~#&;<>! .-]*\Z")
 
 LEVEL_COLUMNS = [f"extend_level{k}_name" for k in range(LEVELS + 1)]
 SLIM_COLUMNS = [
@@ -176,10 +179,27 @@ def usable_locations(locations: DataFrame) -> DataFrame:
     return usable.groupBy("pattern").agg(F.min("table_name").alias("table_name"))
 
 
+def bad_patterns(locations: DataFrame) -> DataFrame:
+    """``pattern`` of the usable locations whose pattern does not compile.
+
+    Text without pattern signs always does. The others pass the driver one by one.
+    """
+    spark = locations.sparkSession
+    signed = usable_locations(locations).where(~F.col("pattern").rlike(_PLAIN_TEXT.pattern)).select("pattern")
+    compile_pattern = spark._jvm.java.util.regex.Pattern.compile
+    bad = []
+    for row in signed.toLocalIterator():
+        try:
+            compile_pattern(_PATTERN_FLAGS + row["pattern"])
+        except IllegalArgumentException:
+            bad.append((row["pattern"],))
+    return spark.createDataFrame(bad, "pattern string")
+
+
 def unusable_locations(locations: DataFrame) -> DataFrame:
-    return locations.where(
-        ~F.coalesce(F.col("pattern").isNotNull() & F.col("table_name").contains("."), F.lit(False))
-    )
+    """Locations without a pattern or a named table, and those whose pattern does not compile."""
+    named = F.coalesce(F.col("pattern").isNotNull() & F.col("table_name").contains("."), F.lit(False))
+    return locations.where(~named).unionByName(locations.where(named).join(bad_patterns(locations), "pattern", "left_semi"))
 
 
 def attach_pattern_owner(
@@ -187,49 +207,53 @@ def attach_pattern_owner(
 ) -> DataFrame:
     """Adds ``_table``: target of the longest pattern found in the path (ties: first by text).
 
-    A small catalogue becomes constant patterns in the plan, each compiled once
-    per task, and the listing is not shuffled; patterns that do not compile are
-    left out. A larger one is joined in batches, where such a pattern stops the job.
+    Patterns that do not compile are left out (see ``unusable_locations``). A small catalogue becomes constant patterns in the
+    plan, each compiled once per task, and the listing is not shuffled. In a larger one, patterns meet the paths
+    that hold one of their folders. Both ways give the same rows.
     """
-    usable = usable_locations(locations)
+    usable = cut(usable_locations(locations).join(bad_patterns(locations), "pattern", "left_anti"))
     head = usable.limit(plan_patterns + 1).collect()
-    small = len(head) <= plan_patterns
-    small = small and sum(len(r["pattern"]) + len(r["table_name"]) for r in head) <= PLAN_PATTERN_CHARS
-    if not small:
-        return _pattern_owner_joined(listing, usable)
-    compile_pattern = listing.sparkSession._jvm.java.util.regex.Pattern.compile
-    known = []
-    for row in head:
-        try:
-            compile_pattern(_PATTERN_FLAGS + row["pattern"])
-        except IllegalArgumentException:
-            continue
-        known.append(row)
-    known.sort(key=lambda r: (-len(r["pattern"]), r["pattern"]))
-    named = listing.withColumn("_folded", _folded(F.col("name")))
+    if len(head) <= plan_patterns and sum(len(r["pattern"]) + len(r["table_name"]) for r in head) <= PLAN_PATTERN_CHARS:
+        named = listing.withColumn("_folded", _folded(F.col("name")))
+        return named.withColumn("_table", _best_constant(head, F.col("name"))["table_name"]).drop("_folded")
+    return _pattern_owner_joined(listing, usable, plan_patterns)
+
+
+def _best_constant(rows: list, name: Column) -> Column:
+    """Best of some patterns as (rank, pattern, table_name); needs a column ``_folded``."""
+    kind = "struct<rank:int,pattern:string,table_name:string>"
+    known = sorted(rows, key=lambda r: (-len(r["pattern"]), r["pattern"]))
     groups = []
     for start in range(0, len(known), PATTERNS_PER_CASE):
         case = None
         for row in known[start:start + PATTERNS_PER_CASE]:
             add = F.when if case is None else case.when
-            case = add(_found(row["pattern"]), F.lit(row["table_name"]))
+            entry = F.struct(F.lit(-len(row["pattern"])).alias("rank"), F.lit(row["pattern"]).alias("pattern"), F.lit(row["table_name"]).alias("table_name"))
+            case = add(_found(row["pattern"], name), entry)
         groups.append(case)
-    found = F.coalesce(*groups) if groups else F.lit(None).cast("string")
-    return named.withColumn("_table", found).drop("_folded")
+    return F.coalesce(*groups) if groups else F.lit(None).cast(kind)
+
+
+def _searched(name: Column | str) -> Column:
+    """Path as patterns see it.
+
+    The engine would take the dotless i and the dotted capital I for an i; as other characters they are only themselves.
+    """
+    return F.translate(or_empty(F.col(name) if isinstance(name, str) else name), *_OWN_LETTERS)
 
 
 def _folded(name: Column) -> Column:
-    """Path in lower case; the long s is the one other letter that folds to an ASCII one."""
-    return F.replace(F.lower(or_empty(name)), F.lit("\u017f"), F.lit("s"))
+    """Path in lower case; the long s and the Kelvin sign are the only letters beyond ASCII that fold to ASCII ones."""
+    return F.replace(F.lower(_searched(name)), F.lit("\u017f"), F.lit("s"))
 
 
-def _found(pattern: str) -> Column:
+def _found(pattern: str, name: Column) -> Column:
     """Is the pattern found in the path?
 
     Text that holds no pattern signs is looked up as text. Where the only sign is
     a dot, the longest text between dots must be there before the pattern is tried.
     """
-    search = or_empty(F.col("name")).rlike(_PATTERN_FLAGS + pattern)
+    search = _searched(name).rlike(_PATTERN_FLAGS + pattern.translate(str.maketrans(*_OWN_LETTERS)))
     if not _PLAIN_TEXT.match(pattern):
         return search
     pieces = pattern.lower().split(".")
@@ -237,52 +261,54 @@ def _found(pattern: str) -> Column:
     return held if len(pieces) == 1 else held & search
 
 
-def _pattern_owner_joined(listing: DataFrame, usable: DataFrame) -> DataFrame:
+def _pattern_owner_joined(listing: DataFrame, usable: DataFrame, plan_patterns: int) -> DataFrame:
     """Pattern search for any number of patterns.
 
-    Distinct paths meet the patterns batch by batch in an equi-join on
-    (batch, salt). Within a row only the best pattern of the batch survives, so
-    no row per pair is ever produced. A bad pattern stops the job here.
+    A pattern of plain text and dots can only be found in a path that has each of its inner folders (those
+    between two slashes). The folder that the fewest patterns share is its anchor; distinct paths meet patterns by
+    anchor in an equi-join and the pattern is tried on these pairs. Patterns without an anchor that at most
+    ANCHOR_PATTERNS share are the exception; they are tried on all distinct paths, plan_patterns at a time.
     """
-    count = usable.count()
-    batches = max(1, -(-count // PATTERNS_PER_BATCH))
-    entry = F.struct(
-        (-F.length("pattern")).alias("rank"), F.col("pattern"), F.col("table_name"),
-    )
-    bundles = (
-        usable.groupBy(F.pmod(F.xxhash64("pattern"), F.lit(batches)).alias("_batch"))
-        .agg(F.collect_list(entry).alias("_patterns"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    )
-    names = listing.select(or_empty(F.col("name")).alias("_name")).distinct()
-    names = names.withColumn("_salt", F.pmod(F.xxhash64("_name"), F.lit(SALTS))).withColumn(
-        "_batch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(batches - 1).cast("bigint")))
-    )
-    best_here = F.array_min(
-        F.filter(
-            "_patterns",
-            lambda p: F.regexp_like(F.col("_name"), F.concat(F.lit(_PATTERN_FLAGS), p["pattern"])),
-        )
-    )
-    best = (
-        names.join(bundles, ["_batch", "_salt"])
-        .select("_name", best_here.alias("_best"))
-        .where("_best is not null")
-        .groupBy("_name")
-        .agg(F.min("_best")["table_name"].alias("_table"))
+    plain = usable.where(F.col("pattern").rlike(_PLAIN_TEXT.pattern))
+    pieces = F.split(F.lower("pattern"), "/")
+    inner = F.filter(F.slice(pieces, 2, F.greatest(F.size(pieces) - 2, F.lit(0))), lambda p: (p != "") & ~p.contains("."))
+    folders = cut(plain.select("pattern", "table_name", F.explode(F.array_distinct(inner)).alias("_folder")))
+    shared = cut(folders.groupBy("_folder").agg(F.count("*").alias("_shared")).where(F.col("_shared") <= ANCHOR_PATTERNS))
+    ranked = folders.join(shared, "_folder").groupBy("pattern", "table_name").agg(
+        F.min(F.struct("_shared", (-F.length("_folder")).alias("_size"), "_folder"))["_folder"].alias("_folder")
     )
-    return _attach_by_name(listing, best)
+    anchored = cut(ranked)
+    names = listing.select(or_empty(F.col("name")).alias("_name")).distinct().withColumn("_folded", _folded(F.col("_name")))
+    names = cut(names)
+    held = names.select("_name", F.explode(F.array_distinct(F.split("_folded", "/"))).alias("_folder"))
+    regex = F.concat(F.lit(_PATTERN_FLAGS), F.col("pattern"))
+    met = held.join(anchored, "_folder").where(F.regexp_like(_searched("_name"), regex))
+    best = met.select("_name", F.struct((-F.length("pattern")).alias("rank"), "pattern", "table_name").alias("_best"))
+
+    block: list = []
+
+    def tried(rows: list) -> DataFrame:
+        return names.select("_name", _best_constant(rows, F.col("_name")).alias("_best")).where("_best is not null")
+
+    for row in usable.join(anchored.select("pattern"), "pattern", "left_anti").toLocalIterator():
+        block.append(row)
+        if len(block) >= max(1, plan_patterns):
+            best = best.unionByName(tried(block))
+            block = []
+    if block:
+        best = best.unionByName(tried(block))
+    owners = best.groupBy("_name").agg(F.min("_best")["table_name"].alias("_table"))
+    return _attach_by_name(listing, owners)
 
 
 def _attach_by_name(listing: DataFrame, owners: DataFrame) -> DataFrame:
-    """Left join of one owner per path. One path may fill much of the listing, so it is salted."""
-    salted = listing.withColumn("_name", or_empty(F.col("name"))).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in listing.columns]), F.lit(SALTS))
-    )
-    copies = owners.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    )
-    return salted.join(copies, ["_name", "_salt"], "left").drop("_name", "_salt")
+    """Left join of one owner per path.
+
+    The owners are written first: then both sides of the join are plain shuffles, and the engine splits a path that fills much
+    of the listing.
+    """
+    named = listing.withColumn("_name", or_empty(F.col("name")))
+    return named.join(cut(owners), "_name", "left").drop("_name")
 
 
 # --- plain locations ---------------------------------------------------------
@@ -317,7 +343,7 @@ def attach_prefix_owner(
         and len(measured["depths"]) <= BROADCAST_DEPTHS
     )
     if not bounded:
-        return _prefix_owner_joined(listing, usable)
+        return _prefix_owner_joined(listing, usable, measured["depths"])
     out = listing.withColumn("_path", F.split(F.lower(or_empty(F.col("name"))), "/"))
     found = []
     for depth in reversed(measured["depths"]):
@@ -332,22 +358,13 @@ def attach_prefix_owner(
     return out.drop("_path", *[f"_target{d}" for d in measured["depths"]])
 
 
-def _prefix_owner_joined(listing: DataFrame, usable: DataFrame) -> DataFrame:
-    """Prefix search for a catalogue of any size, by a salted equi-join on the parent folder."""
+def _prefix_owner_joined(listing: DataFrame, usable: DataFrame, depths: list[int]) -> DataFrame:
+    """Prefix search for a catalogue of any size, by an equi-join on the parent folders of the depths that occur in it."""
     names = listing.select(or_empty(F.col("name")).alias("_name")).distinct()
     path = F.split(F.lower(F.col("_name")), "/")
-    parents = names.withColumn("_salt", F.pmod(F.xxhash64("_name"), F.lit(SALTS))).withColumn(
-        "_loc",
-        F.explode(F.transform(F.sequence(F.lit(1), F.size(path)), lambda d: F.array_join(F.slice(path, 1, d), "/"))),
-    )
-    targets = usable.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    )
-    best = (
-        parents.join(targets, ["_loc", "_salt"])
-        .groupBy("_name")
-        .agg(F.max_by("_target", "_depth").alias("_table"))
-    )
+    at = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= F.size(path))
+    parents = names.withColumn("_loc", F.explode(F.transform(at, lambda d: F.array_join(F.slice(path, 1, d), "/"))))
+    best = parents.where("_loc <> ''").join(usable, "_loc").groupBy("_name").agg(F.max_by("_target", "_depth").alias("_table"))
     return _attach_by_name(listing, best)
 
 

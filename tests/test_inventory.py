@@ -76,11 +76,21 @@ def test_many_patterns_in_batches(spark):
     assert found == {f"/lake/t{i:04d}/f": f"d.t{i}" for i in range(0, count, 7)}
 
 
-def test_bad_pattern_is_left_out(spark):
-    places = spark.createDataFrame([("(", "a.b"), ("/x", "c.d")], "pattern string, table_name string")
-    rows = listing(spark, [("/x/(", "FILE", 1, "")])
-    assert inventory.match_locations(rows, places).first()["table_name"] == "c.d"
-    assert inventory.unusable_locations(spark.createDataFrame([("a", "nodot"), (None, "a.b")], places.schema)).count() == 2
+ODD_NAMES = ["/ext/zip/f", "/ext/z\u0131p/f", "/EXT/Z\u0130P/f", "/ext/\u017fafe/k/f", "/ext/safe/\u212a/f", "/x/(", "/a+b/c", "/a/b/c", "/ext/a.b/f", "/ext/axb/f", "/\u0130d/f"]
+ODD_PATTERNS = [("/ext/zip/", "a.zip"), ("/ext/safe/k/", "a.safe"), ("(", "a.bad"), ("[z", "a.bad2"), ("/x", "c.d"), (r"/a\+b/", "a.plus"), ("/A/(b|q)/", "a.alt"),
+                ("/ext/a.b/", "a.dot"), ("i\u0307?d/", "a.i"), ("\u0130d", "a.dotted"), ("/ext/", "a.ext"), ("a", "nodot"), (None, "a.b")]
+
+
+def test_one_answer_at_every_size(spark):
+    places = spark.createDataFrame(ODD_PATTERNS, "pattern string, table_name string")
+    rows = listing(spark, [(n, "FILE", 1, "") for n in ODD_NAMES * 2])
+    found = [sorted(inventory.attach_pattern_owner(rows, places, limit).select("name", "_table").collect()) for limit in (512, 3, 0)]
+    assert found[0] == found[1] == found[2]
+    owners = dict(found[0])
+    assert owners["/ext/zip/f"] == "a.zip" and owners["/ext/z\u0131p/f"] == owners["/EXT/Z\u0130P/f"] == "a.ext"
+    assert owners["/ext/\u017fafe/k/f"] == owners["/ext/safe/\u212a/f"] == "a.safe"
+    assert owners["/x/("] == "c.d" and owners["/a+b/c"] == "a.plus" and owners["/a/b/c"] == "a.alt" and owners["/\u0130d/f"] == "a.dotted"
+    assert sorted(r["table_name"] for r in inventory.unusable_locations(places).collect()) == ["a.b", "a.bad", "a.bad2", "nodot"]
 
 
 def test_empty_locations(spark):
