@@ -18,7 +18,7 @@ def load_payloads(
     df: DataFrame,
     db: str,
     table: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | str,
     keys: Sequence[str],
     size: int,
     batch_id: str,
@@ -27,8 +27,13 @@ def load_payloads(
 
     The label depends on the batch and the chunk only, so sending a chunk again
     reuses it and loads nothing twice. A body holds at most ``size`` rows, so no
-    group grows with the data.
+    group grows with the data. ``columns`` may be the name of the target in the catalog, whose columns are then
+    taken. Only columns that the bodies or the order need are shuffled and written.
     """
+    if isinstance(columns, str):
+        columns = df.sparkSession.table(columns).columns
+    needed = {*columns, *keys}
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c in needed])
     have = set(df.columns)
     fields = [(F.col(f"`{c}`") if c in have else F.lit(None).cast("string")).alias(c) for c in columns]
     chunked = chunk_rows(df, size, *keys).select(

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from .schemas import LISTING
 
-SPREAD_BYTES = 16 * 1024 * 1024
-
 # Connection defaults by database kind.
 _JDBC = {
     "mysql": {
@@ -78,10 +76,21 @@ def scan_jdbc(spark: SparkSession, kind: str, host: str, database: str, **option
 
 
 def scan_hive(spark: SparkSession, query: str, settings: dict[str, str] | None = None) -> DataFrame:
-    """Query over catalog tables; on a cluster the session's catalog is the Hive one."""
-    for key, value in (settings or {}).items():
-        spark.conf.set(key, value)
-    return spark.sql(query)
+    """Query over catalog tables; on a cluster the session's catalog is the Hive one.
+
+    ``settings`` hold while the statement is analysed; then the session has its own values back.
+    """
+    before = {key: spark.conf.get(key, None) for key in settings or {}}
+    try:
+        for key, value in (settings or {}).items():
+            spark.conf.set(key, value)
+        return spark.sql(query)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def scan_bound(spark: SparkSession, query: str, *args) -> DataFrame:
@@ -94,17 +103,6 @@ def exec_statement(spark: SparkSession, statement: str) -> None:
     spark.sql(statement)
 
 
-def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
-    """Rows dealt out to all cores when the input is too small to fill them with splits.
-
-    A file with one row group is one task however many cores there are. The
-    shuffle moves at most ``bytes_per_core`` per core; larger inputs are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size <= cores * bytes_per_core else df
-
-
 def as_text(df: DataFrame, null_text: str = "") -> DataFrame:
     """Every value as text."""
     return df.select(

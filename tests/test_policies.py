@@ -132,7 +132,7 @@ def test_one_scan_no_shuffle(spark, sf_dir):
     from lakesteward.plans.fixtures import fixture
 
     plan = policies.policy_flat(fixture(spark, sf_dir, "policies"), AS_OF)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1 and plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 0 and plan.count("FileScan") == 1
 
 
 @pytest.mark.parametrize("partitions", [1, 9])

@@ -132,9 +132,16 @@ def test_user_lookup(spark):
     assert dict(user_lookup(names, users, "seq").collect()) == {"a": 2, "b": 3, "c": 0}
 
 
-def test_spread_only_touches_small_inputs(spark, sf_dir):
-    small = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert readers.spread(small).rdd.getNumPartitions() == cores
-    assert readers.spread(small, 0).rdd.getNumPartitions() == small.rdd.getNumPartitions() == 1
-    assert readers.spread(small).count() == small.count()
+def test_hive_settings_do_not_stay(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = readers.scan_hive(spark, "SELECT 1 AS a", {"spark.sql.shuffle.partitions": "3", "lake.own.setting": "x"})
+    assert rows.first()["a"] == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before and spark.conf.get("lake.own.setting", None) is None
+
+
+def test_payload_columns_from_the_catalog(spark):
+    spark.createDataFrame([], "b string, a int, gone int").createOrReplaceTempView("payload_target")
+    rows = spark.createDataFrame([(1, "x", "unused"), (2, "y", "unused")], "a int, b string, c string")
+    body = load.load_payloads(rows, "d", "t", "payload_target", ["a"], 10, "1").first()
+    assert body["jsonpaths"] == '["$.b","$.a","$.gone"]'
+    assert body["body"] == '[{"b":"x","a":1,"gone":null},{"b":"y","a":2,"gone":null}]'
