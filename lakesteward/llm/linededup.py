@@ -64,7 +64,7 @@ def _repeated_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = join_on(join_on(lines, ranks, ["h1", "h2"]), numbers, KEYS, null_keys=NULL_ID)
     # A place that repeated rows give twice is one place.
     placed = kept.select((F.col("doc") * LINES + F.col("line")).alias("pos"), "rank", "words")
-    placed = placed.groupBy("pos").agg(F.min("rank").alias("rank"), F.min("words").alias("words"))
+    placed = cut(placed.groupBy("pos").agg(F.min("rank").alias("rank"), F.min("words").alias("words")))
     return cut(_still_repeated(placed)), numbers
 
 
@@ -109,16 +109,15 @@ def _common(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """``pos, partner, length``: lines in the longest common prefix of each pair."""
     done = pairs.select("pos", "partner", "top", F.expr("shiftleft(1L, top)").alias("length"))
     for k in range(len(levels) - 2, -1, -1):
-        # Pairs that are not yet past this level wait for theirs.
-        open_ = done.where(F.col("top") > k)
+        # Pairs that are not yet past this level wait for theirs: they have no place to look at.
+        open_ = F.col("top") > k
+        looked = done.withColumns({
+            "at": F.when(open_, F.col("pos") + F.col("length")), "other": F.when(open_, F.col("partner") + F.col("length")),
+        })
         mine = levels[k].select("pos", "rank").toDF("at", "rank")
-        theirs = mine.toDF("other", "rank")
-        met = join_on(open_.withColumn("at", F.col("pos") + F.col("length")), mine, ["at"])
-        met = join_on(met.withColumn("other", F.col("partner") + F.col("length")), theirs, ["other", "rank"])
-        longer = met.select("pos", F.lit(1 << k).cast("long").alias("more"))
-        done = join_on(done, longer, ["pos"], "left").select(
-            "pos", "partner", "top", (F.col("length") + F.coalesce("more", F.lit(0))).alias("length")
-        )
+        looked = join_on(join_on(looked, mine, ["at"], "left"), mine.toDF("other", "also"), ["other"], "left")
+        longer = F.when(F.col("rank") == F.col("also"), F.lit(1 << k)).otherwise(F.lit(0))
+        done = looked.select("pos", "partner", "top", (F.col("length") + longer).alias("length"))
         if k % 3 == 0:
             done = cut(done)
     return done.select("pos", "partner", "length")
