@@ -40,7 +40,7 @@ SHARD_BYTES = 32 << 20
 INDEX_KEYS = 100_000
 LEVEL_BITS = 2
 MAX_LEVELS = 60
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 CACHED_CHARS = 64
 
 READ_BYTES = 4 << 20
