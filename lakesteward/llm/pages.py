@@ -459,7 +459,12 @@ def training_pages(pages: list[str], seed: int = 11) -> list[list[Block]]:
 def trained(pages: DataFrame) -> dict[str, np.ndarray] | None:
     """Weights from a bounded sample of the table; None for a table without usable pages."""
     usable = pages.where(F.length("html") <= TRAIN_CHARS)
-    sample = usable.orderBy(F.xxhash64("page_id"), F.length("html")).limit(TRAIN_PAGES).select("html")
+    # The bound comes first, from hashes alone, so that only pages of the sample leave the tasks.
+    order = F.xxhash64("page_id")
+    first = [row[0] for row in usable.select(order.alias("h")).orderBy("h").limit(TRAIN_PAGES).collect()]
+    if not first:
+        return None
+    sample = usable.where(order <= first[-1]).orderBy(F.xxhash64("page_id"), F.length("html")).limit(TRAIN_PAGES).select("html")
     labelled = training_pages([row[0] for row in sample.collect()])
     return train(labelled) if labelled else None
 
