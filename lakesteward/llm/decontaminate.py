@@ -7,6 +7,9 @@ seeds as well. A second pass finds the seeds in the documents' word windows, gat
 an item that lie on near diagonals into passages, and aligns each with the item. The score is the
 alignment's, divided by the one of a whole, unchanged copy.
 
+Words are compared with letter case folded and without punctuation at their ends, in items and documents alike, so that
+shouted, lower-cased and re-punctuated copies share their seeds and align. A word of punctuation alone stays as it is.
+
 The benchmark is the stated query set: its items go out in blocks of bounded size, and each block meets
 all documents in place, without a shuffle of texts.
 
@@ -59,7 +62,7 @@ class Block:
 
 
 def read_block(ids: list, texts: list) -> Block:
-    words = word_hashes(pa.array(texts, pa.large_string()))
+    words = word_hashes(pa.array(texts, pa.large_string()), folded=True)
     grams, places = windows(words, SEED)
     owner = np.searchsorted(words.first, places, side="right") - 1
     order = np.argsort(grams, kind="stable")
@@ -107,7 +110,7 @@ def count_seeds(docs: DataFrame, block: Block) -> np.ndarray:
         for batch in batches:
             texts = batch.column(0)
             for low, high in slices(texts):
-                grams, _ = windows(word_hashes(texts.slice(low, high - low)), SEED)
+                grams, _ = windows(word_hashes(texts.slice(low, high - low), folded=True), SEED)
                 totals += np.bincount(_matches(known, grams)[1], minlength=len(totals))
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_pydict({"seed": pa.array(seen), "n": pa.array(totals[seen])})
@@ -197,7 +200,7 @@ def scan(block: Block, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     A text and an item have one row, for their best passage.
     """
-    words = word_hashes(texts)
+    words = word_hashes(texts, folded=True)
     grams, places = windows(words, SEED)
     hits, seeds = _matches(block, grams)
     if not len(hits):

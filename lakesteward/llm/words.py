@@ -6,8 +6,10 @@ UTF-8 sequence falls into these ranges, so words never split a character.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,7 @@ SLICE_TEXTS = 1 << 15
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_ASCII_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,9 +62,61 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def word_hashes(texts: pa.Array) -> Words:
-    """Null texts have no words."""
+def _folded(texts: pa.Array) -> pa.Array:
+    """The texts with letter case folded as Python's casefold does; bytes that are no UTF-8 stay as they are."""
+    import pyarrow.compute as pc
+
+    lower = pc.ascii_lower(texts).cast(pa.large_binary())
+    rows = [t if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in lower.to_pylist()]
+    return pa.array(rows, pa.large_binary())
+
+
+@cache
+def _marks() -> np.ndarray:
+    """By code point: Unicode punctuation, and the ASCII signs. Nothing from 0x20000 on is punctuation."""
+    table = np.array([unicodedata.category(chr(c))[0] == "P" for c in range(0x20000)])
+    table[list(_ASCII_MARKS)] = True
+    return table
+
+
+def _is_mark(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to punctuation."""
+    table = _marks()
+    marks = np.append(table[:128], np.zeros(128, bool))[data]
+    for low, high, size in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        leads = np.flatnonzero((data[:len(data) - size + 1] >= low) & (data[:len(data) - size + 1] < high))
+        for k in range(1, size):
+            leads = leads[data[leads + k] & 0xC0 == 0x80]
+        code = data[leads].astype(np.int64) & ((1 << (7 - size)) - 1)
+        for k in range(1, size):
+            code = code << 6 | data[leads + k] & 0x3F
+        leads = leads[(code < len(table)) & table[np.minimum(code, len(table) - 1)]]
+        for k in range(size):
+            marks[leads + k] = True
+    return marks
+
+
+def _trimmed(data: np.ndarray, in_word: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word bytes and word starts without punctuation at both ends; a word of punctuation alone stays as it is."""
+    core = np.flatnonzero(in_word & ~_is_mark(data))
+    if not len(core):
+        return in_word, starts
+    following = np.append(starts[1:], len(data))
+    first = core[np.minimum(np.searchsorted(core, starts), len(core) - 1)]
+    last = core[np.searchsorted(core, following) - 1]
+    held = (first >= starts) & (first < following)
+    begins, ends = np.where(held, first, starts), np.where(held, last + 1, following)
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[begins] += 1
+    edges[ends] -= 1
+    return in_word & (np.cumsum(edges[:-1], dtype=np.int8) > 0), begins
+
+
+def word_hashes(texts: pa.Array, folded: bool = False) -> Words:
+    """Null texts have no words. ``folded`` words are alike if they differ in letter case and in punctuation around them only."""
     whole = pa.array(texts).cast(pa.large_string()).fill_null("")
+    if folded:
+        whole = _folded(whole)
     rows = len(whole)
     offsets = np.frombuffer(whole.buffers()[1], dtype=np.int64)[whole.offset:whole.offset + rows + 1]
     low, high = (int(offsets[0]), int(offsets[-1])) if rows else (0, 0)
@@ -78,6 +133,8 @@ def word_hashes(texts: pa.Array) -> Words:
     first = np.searchsorted(starts, offsets - low)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), first)
+    if folded:
+        in_word, starts = _trimmed(data, in_word, starts)
     gaps = np.diff(np.append(starts, len(data)))
     powers = np.cumprod(np.full(int(gaps.max()), _BASE, dtype=np.uint64))
     place = np.arange(starts[0], len(data)) - np.repeat(starts, gaps)

@@ -1,4 +1,8 @@
+import itertools
 import random
+import re
+import string
+import unicodedata
 
 from lakesteward.llm import decontaminate as dc
 from lakesteward.llm.words import word_hashes
@@ -67,3 +71,55 @@ def test_blocks_of_items_give_the_same(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_WORDS", 500)
     assert len(list(dc.benchmark_blocks(items))) > 2
     assert sorted((r.doc_id, r.item_id) for r in dc.find_leaks(docs, items).collect()) == whole
+
+
+def _edges_off(word):
+    mark = lambda c: unicodedata.category(c)[0] == "P" or c in string.punctuation
+    kept = [i for i, c in enumerate(word) if not mark(c)]
+    return (word[kept[0]:kept[-1] + 1] if kept else word)
+
+
+def _plain_words(text):
+    return [_edges_off(w) for w in re.split(r"[\x20\x09-\x0D]+", (text or "").casefold()) if w]
+
+
+def _plain_score(passage, item):
+    before, best = [0] * (len(item) + 1), 0
+    for word in passage:
+        line = [0]
+        for j, other in enumerate(item):
+            line.append(max(0, before[j] + (2 if word == other else -1), before[j + 1] - 1, line[j] - 1))
+        best, before = max(best, max(line)), line
+    return best / (2 * len(item))
+
+
+def test_case_and_punctuation_do_not_hide_a_copy(spark):
+    items = {1: "What is the Straße number of Élodie's house, if she lives at the end?", 2: "Ein „Zitat“ steht hier – don't ask why it’s so — (really).",
+             3: "+ - * / + - * /"}
+    docs = {1: "Before it. " + items[1].upper() + " And after", 2: items[1].lower().replace(",", ";").replace("?", "!!"),
+            3: " ".join(f'"{w}",' for w in items[1].split()), 4: items[2].upper().replace("„", '"').replace("“", '"'),
+            5: "what is the number of it , if any ? " * 3, 6: "... " + items[3] + " ...", 7: "*", 8: None, 9: "«" + items[2].swapcase() + "»"}
+    found = {(r.doc_id, r.item_id): round(r.score, 9) for r in _rows(spark, list(docs.items()), list(items.items())).collect()}
+    scores = {(d, i): _plain_score(_plain_words(t), _plain_words(q)) for d, t in docs.items() for i, q in items.items()}
+    assert found == {k: round(v, 9) for k, v in scores.items() if v >= dc.MIN_SCORE}
+    assert set(found) == {(1, 1), (2, 1), (3, 1), (4, 2), (6, 3), (9, 2)} and set(found.values()) == {1.0}
+
+
+def test_folded_hashes_match_folded_words():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aAßΣς.,-—“é\U0001F600 \t\n𝒜\U00010100'") for _ in range(rng.randrange(40))) for _ in range(400)] + [None, "", "..", "x"]
+    words = word_hashes(pa.array(texts), folded=True)
+    plain = [_plain_words(t) for t in texts]
+    assert list(words.first[1:] - words.first[:-1]) == [len(w) for w in plain]
+    number = {}
+    for hashed, word in zip(words.hashes.tolist(), [w for ws in plain for w in ws]):
+        assert number.setdefault(word, hashed) == hashed
+    assert len(set(number.values())) == len(number)
+
+
+def test_folded_hashes_of_bytes_that_are_no_text():
+    texts = [b"A\x80b. \xe2\x80 \xf0 x\xe2", b"\x80\x94 a\x80B!", b"\xe2"]
+    ends = [0, *itertools.accumulate(map(len, texts))]
+    offsets = pa.py_buffer(b"".join(n.to_bytes(8, "little") for n in ends))
+    words = word_hashes(pa.LargeStringArray.from_buffers(3, offsets, pa.py_buffer(b"".join(texts))), folded=True)
+    assert words.first.tolist() == [0, 4, 6, 7] and words.hashes[0] == words.hashes[5]
