@@ -10,7 +10,7 @@ same texts are also laid out in other containers, in other orders, and with comm
 forms, notices and sidebars around them, so that more kinds of pages are known than the sample has.
 
 Defined results: a null or empty page gives an empty text and 0 characters; a page cut off in the middle is read up
-to there; repeated pages get equal rows; an empty table gives an empty result; other columns are ignored.
+to there; stray quotes in a tag end nothing and hide nothing; repeated pages get equal rows; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,7 +58,12 @@ OTHER_NAMES = set(
     "discussion replies respond disqus related recommended share social breadcrumb breadcrumbs pagination pager tags toc alert".split()
 )
 
-TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
+# As in HTML, quotes enclose a value only right after the '=' of an attribute; elsewhere they are ordinary characters.
+TAG = re.compile(
+    r"""<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++|(?=>)))?+)*+)>"""
+)
+# For what follows a tag that quoted values carry to the end of the page.
+SHORT_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 NAME = re.compile(r"[A-Za-z]+")
 
@@ -154,7 +159,7 @@ class _Reader:
 
 def read_blocks(page: str) -> list[Block]:
     """Leaf blocks of a page, in page order. Every character is looked at a bounded number of times."""
-    reader, at, size = _Reader(), 0, len(page)
+    reader, at, size, tags = _Reader(), 0, len(page), TAG
     while at < size:
         tag = page.find("<", at)
         if tag < 0:
@@ -162,8 +167,13 @@ def read_blocks(page: str) -> list[Block]:
             break
         reader.add(page[at:tag])
         follows = page[tag + 1:tag + 2]
-        if follows.isalpha() or (follows == "/" and page[tag + 2:tag + 3].isalpha()):
-            m = TAG.match(page, tag)
+        letter = page[tag + 2:tag + 3] if follows == "/" else follows
+        if letter.isascii() and letter.isalpha():
+            m = tags.match(page, tag)
+            if not m and tags is TAG:
+                # No '>' outside quoted values follows: from here on any '>' ends a tag, and the text between is kept.
+                tags = SHORT_TAG
+                m = tags.match(page, tag)
             if not m:
                 break
             name, at = m[2].lower(), m.end()

@@ -69,3 +69,29 @@ def test_odd_pages(spark, weights):
     assert len(found) == len(rows) and texts[1, None] == "" and texts[2, "u"] == ""
     assert texts[None, "u"] == "x < y é z <1" and texts[5, "u"] == "cut off" and texts[9, "u"].count("\n") == 19_999
     assert pg.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def _texts(page):
+    return [b.text for b in pg.read_blocks(page)]
+
+
+@pytest.mark.parametrize("tag", ['<p class="a"">', "<p title=it's>", '<p "x>', "<p title='a'b'>", "<p title=a\"b'c>", '<p class = "a>b" \'>', "<p =\">",
+                                 '<p title=>', '<p title=a="b>', "<p/'>", '<p title="a>b"c="d">', '<p title="open>', "<p title='open>"])
+def test_text_behind_stray_quotes_stays(tag):
+    assert _texts(f"<div>before{tag}inside</p>after</div><i>it goes on</i>") == ["before", "inside", "after", "it goes on"]
+    assert _texts(f"<div>before{tag}inside") == ["before", "inside"]
+
+
+def test_text_behind_signs_that_are_no_tag_stays():
+    assert _texts("<p>a <é b</p><p>c </é> d</p>") == ["a <é b", "c d"]
+    assert _texts('<p title="a>text one <b class="c') == ["text one"]
+    assert _texts("<p>cut off <b class='x") == ["cut off"]
+
+
+def test_many_odd_tags_take_time_in_proportion():
+    import time
+
+    start = time.time()
+    for odd in ('<a b="><"', "<a b='", '<a ="', "<a '\">", '<a b = ', "<a\"'"):
+        pg.read_blocks(odd * 60_000)
+    assert time.time() - start < 20
