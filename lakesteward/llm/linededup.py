@@ -6,9 +6,9 @@ occur more than once, in order of the pair of ranks of their two halves; the pla
 the suffix array in which neighbours share as many lines, and the runs of one rank are an interval of a longest
 common prefix of at least that length. Only places that are still repeated go on, so each level is smaller.
 
-A place's partner is the earliest place of its class on the highest level where its class has an earlier place. The
-common prefix of both is found by going down the levels. If that run has MIN_WORDS words or more, it is
-a later copy, and its lines are deleted; the earliest place keeps them. Documents count in order of their id.
+A place's length is the largest number of lines that an earlier place has as well. Between 2^k, the highest level where its
+class has an earlier place, and 2^(k+1) it is found by halving: runs of n lines are alike if their first and their last 2^k lines are.
+If that run has MIN_WORDS words or more, it is a later copy, and its lines are deleted; the earliest place keeps them. Documents count in order of their id.
 
 Defined results: a null text stays null and has no lines; a null id comes before all others; rows that repeat id and text are one
 document and get equal results; a run inside one document that repeats an earlier part of it is a copy too;
@@ -105,21 +105,35 @@ def _partners(levels: list[DataFrame]) -> DataFrame:
     return cut(best.select("pos", "best.partner", "best.top"))
 
 
-def _common(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """``pos, partner, length``: lines in the longest common prefix of each pair."""
-    done = pairs.select("pos", "partner", "top", F.expr("shiftleft(1L, top)").alias("length"))
-    for k in range(len(levels) - 2, -1, -1):
-        # Pairs that are not yet past this level wait for theirs: they have no place to look at.
-        open_ = F.col("top") > k
-        looked = done.withColumns({
-            "at": F.when(open_, F.col("pos") + F.col("length")), "other": F.when(open_, F.col("partner") + F.col("length")),
-        })
-        mine = levels[k].select("pos", "rank").toDF("at", "rank")
-        looked = join_on(join_on(looked, mine, ["at"], "left"), mine.toDF("other", "also"), ["other"], "left")
-        longer = F.when(F.col("rank") == F.col("also"), F.lit(1 << k)).otherwise(F.lit(0))
-        done = looked.select("pos", "partner", "top", (F.col("length") + longer).alias("length"))
-        if k % 3 == 0:
-            done = cut(done)
+def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``pos, partner, length``: the most lines that each place shares with an earlier one, and the earliest such place.
+
+    Places with the same partner and length so far share these lines. At each step those that also share the next ones form a
+    class, with the partner if it does too; the first of a class stays with the lines it has, and is the partner of the others.
+    Any earlier place with more lines is found so: the earliest of its class stands in for it.
+    """
+    state = pairs.select("pos", "partner", "top", F.expr("shiftleft(1L, top)").alias("length"))
+    done = state.where("top = 0")
+    for halving in range(1, len(levels)):
+        ranks = None
+        for k in range(halving, len(levels)):
+            level = levels[k].select(F.lit(k).alias("top"), F.col("pos").alias("at"), "rank")
+            ranks = level if ranks is None else ranks.unionByName(level)
+        ahead = F.expr(f"length + shiftleft(1L, top - {halving}) - shiftleft(1L, top)")
+        looked = state.where(F.col("top") >= halving).withColumns({"at": F.col("pos") + ahead, "other": F.col("partner") + ahead})
+        looked = join_on(looked, ranks, ["top", "at"], "left")
+        looked = cut(join_on(looked, ranks.toDF("top", "other", "also"), ["top", "other"], "left"))
+        keys = ["top", "partner", "length", "rank"]
+        apart = looked.where("rank IS NOT NULL AND NOT rank <=> also")
+        firsts = apart.groupBy(*keys).agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1").select(*keys, "first")
+        met = join_on(looked, firsts, keys, "left")
+        behind = F.col("first") < F.col("pos")
+        longer = F.when(behind, True).when(F.col("rank") == F.col("also"), True).otherwise(False)
+        state = cut(met.select(
+            "pos", F.when(behind, F.col("first")).otherwise(F.col("partner")).alias("partner"), "top",
+            (F.col("length") + F.when(longer, F.expr(f"shiftleft(1L, top - {halving})")).otherwise(0)).alias("length"),
+        ))
+        done = done.unionByName(state.where(F.col("top") == halving))
     return done.select("pos", "partner", "length")
 
 
@@ -127,7 +141,7 @@ def later_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc, line`` of every line to delete, and the documents' numbers."""
     base, numbers = _repeated_lines(docs)
     levels = repeated_levels(base)
-    runs = _common(_partners(levels), levels)
+    runs = _longest(_partners(levels), levels)
     doc = F.floor(F.col("pos") / LINES).cast("long")
     in_order = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     summed = cut(base.withColumn("doc", doc).withColumn("total", F.sum("words").over(in_order)))

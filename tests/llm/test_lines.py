@@ -83,3 +83,41 @@ def test_columns_stay(spark):
     out = ld.dedup_documents(docs)
     assert out.columns == docs.columns
     assert sorted(tuple(r) for r in out.collect()) == [(1, f"top\n{run}", "x"), (2, "other\nend", "y")]
+
+
+def _longest_runs(rows):
+    """The definition itself: from each place the most lines that an earlier place has as well."""
+    docs = sorted({(d, t) for d, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, _mark(r[1])))
+    lines = [[x for x in t.split("\n") if WORD.search(x)] for _, t in docs]
+    places = [(i, j) for i, body in enumerate(lines) for j in range(len(body))]
+    gone = [set() for _ in docs]
+    for at, (i, j) in enumerate(places):
+        most = 0
+        for a, b in places[:at]:
+            n = 0
+            while j + n < len(lines[i]) and b + n < len(lines[a]) and lines[i][j + n] == lines[a][b + n]:
+                n += 1
+            most = max(most, n)
+        if sum(len(WORD.findall(x)) for x in lines[i][j:j + most]) >= ld.MIN_WORDS:
+            gone[i] |= set(range(j, j + most))
+    return sorted((repr(d), len(body), len(g)) for (d, _), body, g in zip(docs, lines, gone))
+
+
+def test_longest_earlier_run_is_found(spark):
+    line = [" ".join(f"w{k}x{i}" for i in range(20)) for k in range(4)]
+    rows = [(1, "\n".join([line[0], line[1], line[3]])), (2, "\n".join(line[:3])), (3, "\n".join(line[:3]))]
+    assert [r[:3] for r in _found(spark, rows)] == _longest_runs(rows) == [("1", 3, 0), ("2", 3, 0), ("3", 3, 3)]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_edited_copies_match_the_definition(spark, seed, monkeypatch):
+    monkeypatch.setattr(ld, "MIN_WORDS", 9)
+    rng = random.Random(seed)
+    first = [f"l{rng.randrange(4)} w" for _ in range(24)]
+    rows = []
+    for i in range(30):
+        body = list(first[rng.randrange(6):24 - rng.randrange(6)])
+        for _ in range(rng.randrange(4)):
+            body[rng.randrange(len(body))] = f"l{rng.randrange(4)} w"
+        rows.append((i, "\n".join(body)))
+    assert [r[:3] for r in _found(spark, rows)] == _longest_runs(rows)
