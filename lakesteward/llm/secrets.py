@@ -6,8 +6,9 @@ turn until nothing new appears; a layer whose content was seen at the same place
 again. Each character of a layer knows the characters of the text it came from, so that spans always refer to the text.
 
 A chain of escapes (``%252525..41``, several backslashes before ``u0041``) is one layer, so
-the work stays in proportion to the text. Data that decompresses to more than MAX_LAYER bytes
-is scanned up to there and reported as ``cut``.
+the work stays in proportion to the text. Base64 runs that only line breaks separate are opened as one. Compressed data is
+inflated member by member and scanned in pieces of MAX_LAYER characters that overlap by OVERLAP; ``cut`` tells that
+something encoded is longer than the overlap where two pieces meet, so that it was opened in parts only.
 
 Defined results: a null text counts as empty and has no spans; repeated rows get equal rows; an empty
 table gives an empty result; other columns are ignored; no text is cut.
@@ -17,16 +18,18 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER = 16 << 20
+OVERLAP = 1 << 20
 
 # The base patterns. Only ASCII letters fold.
 ASSIGN = re.compile(
@@ -39,6 +42,10 @@ MIN_VALUE, MIN_ACCESS = 8, 16
 
 # Access keys, long hex numbers and base64 all lie in such runs.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Lines of base64, as far as only line breaks (also written as escapes) separate them.
+LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:(?:[\r\n]|\\++[rn])++[A-Za-z0-9+/_-]++)*+={0,2}")
+LINE = re.compile(r"(?:[\r\n]|\\++[rn])*+([A-Za-z0-9+/_-]++={0,2})")
+UNBROKEN = re.compile(r"[A-Za-z0-9+/_=%\\{}\r\n-]*")
 ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+|\\+(?:u\{[0-9A-Fa-f]{1,6}\}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})")
 PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 LINE_WITH_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]")
@@ -117,24 +124,56 @@ def _unescaped(line: Layer) -> Layer | None:
         high += piece.high
     if not changed:
         return None
-    return Layer("".join(out) + line.text[at:], low + line.low[at:], high + line.high[at:])
+    return Layer("".join(out) + line.text[at:], low + list(line.low[at:]), high + list(line.high[at:]))
 
 
-def _inflated(data: bytes) -> tuple[bytes, bool] | None:
-    """Decompressed gzip or zlib data, and whether it was cut at MAX_LAYER."""
-    if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
-        return None
-    try:
-        engine = zlib.decompressobj(47)
-        out = engine.decompress(data, MAX_LAYER)
-        return (out, bool(engine.unconsumed_tail)) if out else None
-    except zlib.error:
-        return None
+def _is_packed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda"))
 
 
-def _from_base64(layer: Layer, start: int, end: int) -> tuple[Layer, bool] | None:
-    """The text in a base64 run, whichever of its first four characters begins it; also through compression."""
-    run = layer.text[start:end].rstrip("=").replace("-", "+").replace("_", "/")
+def _inflated(data: bytes, left: list[int]) -> Iterator[bytes]:
+    """Decompressed gzip or zlib data, all members, in chunks; ``left[0]`` becomes the number of bytes not used."""
+    while _is_packed(data):
+        engine, rest = zlib.decompressobj(47), data
+        try:
+            while not engine.eof:
+                out = engine.decompress(rest, 1 << 20)
+                rest = engine.unconsumed_tail
+                if out:
+                    yield out
+                elif not rest:
+                    break
+        except zlib.error:
+            break
+        data = engine.unused_data.lstrip(b"\0")
+        left[0] = len(data)
+
+
+def _pieces(chunks: Iterator[bytes], cut: list[bool]) -> Iterator[str]:
+    """The text of chunks in pieces of MAX_LAYER characters that overlap."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    held: list[str] = []
+    size = 0
+    for chunk in chunks:
+        held.append(decoder.decode(chunk))
+        size += len(held[-1])
+        if size >= MAX_LAYER:
+            piece = "".join(held)
+            yield piece
+            held = [piece[-OVERLAP:]]
+            size = len(held[0])
+            cut[0] |= UNBROKEN.fullmatch(held[0]) is not None
+    held.append(decoder.decode(b"", True))
+    if size or held[-1]:
+        yield "".join(held)
+
+
+def _from_base64(layer: Layer, cut: list[bool]) -> Generator[Layer, None, int]:
+    """The text in base64, whichever of its first four characters begins it; also through compression.
+
+    Gives the number of characters that were opened.
+    """
+    run = layer.text.rstrip("=").replace("-", "+").replace("_", "/")
     for skip in range(4):
         body = run[skip:]
         body = body[:len(body) - (len(body) % 4 == 1)]
@@ -146,50 +185,79 @@ def _from_base64(layer: Layer, start: int, end: int) -> tuple[Layer, bool] | Non
             continue
         text = _plain(data)
         if text is not None:
-            first = start + skip
-            places = [(layer.low[first + j * 4 // 3], layer.high[first + (j * 8 + 7) // 6]) for j in range(len(data))]
-            return _characters(text, places), False
-        opened = _inflated(data)
-        if opened:
-            inner = opened[0].decode("utf-8", "replace")
-            last = layer.high[min(end, len(layer.high)) - 1]
-            return Layer(inner, [layer.low[start]] * len(inner), [last] * len(inner)), opened[1]
-    return None
-
-
-def _whole(text: str, start: int, end: int) -> Layer:
-    return Layer(text[start:end], list(range(start, end)), list(range(start + 1, end + 1)))
-
-
-def _encoded_parts(text: str) -> Iterator[tuple[int, int, bool]]:
-    """Ranges that may be encoded: whole lines with escapes (True) and base64 runs (False)."""
-    at = 0
+            places = [(layer.low[skip + j * 4 // 3], layer.high[skip + (j * 8 + 7) // 6]) for j in range(len(data))]
+            yield _characters(text, places)
+            return len(layer.text)
+        left, some = [0], False
+        for inner in _pieces(_inflated(data, left), cut):
+            some = True
+            yield Layer(inner, [layer.low[0]] * len(inner), [layer.high[-1]] * len(inner))
+        if some:
+            return skip + -(-(len(data) - left[0]) * 4 // 3) if left[0] else len(layer.text)
+    return 0
+
+
+def _joins(lines: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Which neighbouring lines may be one piece of base64: all, all but the outer ones, lines of one width, and each line."""
+    count = len(lines)
+    if count > 1:
+        yield from dict.fromkeys((a, b) for a, b in ((0, count), (1, count), (0, count - 1), (1, count - 1)) if b - a > 1)
+        width = [b - a for a, b in lines]
+        first = 0
+        while first < count:
+            last = first + 1
+            while last < count and width[last] == width[first]:
+                last += 1
+            if last < count and width[last] < width[first]:
+                yield first, last + 1
+            elif last - first > 1:
+                yield first, last
+            first = last
+    yield from ((i, i + 1) for i in range(count))
+
+
+def _opened(layer: Layer, cut: list[bool]) -> Iterator[Layer]:
+    """What a layer holds in encoded form: lines with escapes, and base64."""
+    text, at = layer.text, 0
     while m := LINE_WITH_ESCAPE.search(text, at):
         start = text.rfind("\n", 0, m.start()) + 1
         stop = text.find("\n", m.end())
         at = len(text) if stop < 0 else stop
-        yield max(start, 0), at, True
-    for m in RUN.finditer(text):
-        yield m.start(), m.end(), False
+        inner = _unescaped(Layer(text[start:at], layer.low[start:at], layer.high[start:at]))
+        if inner is not None:
+            yield inner
+    for m in LINES.finditer(text):
+        lines = [line.span(1) for line in LINE.finditer(text, m.start(), m.end())]
+        done = m.start()
+        for first, last in _joins(lines):
+            part = lines[first:last]
+            # A line that was opened together with others is not opened again by itself.
+            if part[0][0] < done or (len(part) == 1 and part[0][1] - part[0][0] < 16):
+                continue
+            low, high = [], []
+            for a, b in part:
+                low += layer.low[a:b]
+                high += layer.high[a:b]
+            used = yield from _from_base64(Layer("".join(text[a:b] for a, b in part), low, high), cut)
+            for a, b in part if len(part) > 1 else ():
+                if used > 0:
+                    done = max(done, min(b, a + used))
+                    used -= b - a
 
 
 def find_secrets(text: str) -> tuple[list[Span], set[Span], bool]:
     """Base spans of a text, all spans with those of the layers, and whether a layer was cut."""
     base = scan_text(text)
-    spans, cut = set(base), False
-    work = []
-    for start, end, escaped in _encoded_parts(text):
-        work.append((_whole(text, start, end), 0, end - start, escaped))
+    spans, cut = set(base), [False]
     seen: set[bytes] = set()
+    # A worklist of what is still to be opened; each entry gives one layer at a time.
+    work = [_opened(Layer(text, range(len(text)), range(1, len(text) + 1)), cut)]
     while work:
-        layer, start, end, escaped = work.pop()
-        if escaped:
-            inner = _unescaped(Layer(layer.text[start:end], layer.low[start:end], layer.high[start:end]))
-        else:
-            opened = _from_base64(layer, start, end)
-            inner = opened[0] if opened else None
-            cut |= bool(opened and opened[1])
-        if inner is None or not inner.text:
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+            continue
+        if not inner.text:
             continue
         place = f"{inner.low[0]}:{inner.high[-1]}:".encode()
         mark = hashlib.blake2b(place + inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
@@ -197,8 +265,8 @@ def find_secrets(text: str) -> tuple[list[Span], set[Span], bool]:
             continue
         seen.add(mark)
         spans |= {(min(inner.low[a:b]), kind, max(inner.high[a:b])) for a, kind, b in scan_text(inner.text)}
-        work += [(inner, a, b, e) for a, b, e in _encoded_parts(inner.text)]
-    return base, spans, cut
+        work.append(_opened(inner, cut))
+    return base, spans, cut[0]
 
 
 def span_text(spans) -> str:

@@ -87,3 +87,31 @@ def sc_lit():
     from pyspark.sql import functions as F
 
     return F.lit("clash")
+
+
+def _noise(size):
+    return "".join(hashlib.sha256(str(i).encode()).hexdigest()[:20] + " zz " for i in range(size // 24))
+
+
+def test_wrapped_base64_is_one_layer():
+    secret = f"password={VALUE}"
+    for data in (f"{'some words ' * 4}{secret}{' more words' * 20}".encode(), gzip.compress((_noise(1200) + secret).encode()),
+                 zlib.compress((_noise(1200) + secret).encode())):
+        whole = base64.b64encode(data).decode()
+        for width in (40, 64, 76):
+            for sep in ("\n", "\r\n", "%0A", "\\n"):
+                body = sep.join(whole[i:i + width] for i in range(0, len(whole), width))
+                for around in ("{}", "x: {} y", "-----BEGIN CERTIFICATE-----\n{}\n-----END", "{}\nThanks for it"):
+                    text = around.format(body)
+                    at = text.index(body)
+                    spans = [s for s in _all(text) if s[1] == 0]
+                    assert len(spans) == 1 and at <= spans[0][0] < spans[0][2] <= at + len(body), (width, sep, around)
+
+
+def test_further_members_and_layers_beyond_a_piece(monkeypatch):
+    secret = f"password={VALUE}".encode()
+    two = base64.b64encode(gzip.compress(b"nothing here") + gzip.compress(secret)).decode()
+    assert {k for _, k, _ in _all(two)} == {0}
+    long = base64.b64encode(zlib.compress(b"some words " * 1_600_000 + secret + b" " + base64.b64encode(b"text " + KEY.encode()) + b" end" * 9)).decode()
+    base, spans, cut = sc.find_secrets(long)
+    assert {k for _, k, _ in spans} == {0, 1} and not cut
