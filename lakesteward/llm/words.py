@@ -63,12 +63,15 @@ class Words:
 
 
 def _folded(texts: pa.Array) -> pa.Array:
-    """The texts with letter case folded as Python's casefold does; bytes that are no UTF-8 stay as they are."""
-    import pyarrow.compute as pc
-
-    lower = pc.ascii_lower(texts).cast(pa.large_binary())
-    rows = [t if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in lower.to_pylist()]
-    return pa.array(rows, pa.large_binary())
+    """The texts with letter case folded as Python's casefold does; bytes that are no UTF-8 stay as they are.
+
+    Folded outside Arrow: its own lower-casing misreads slices whose first offset is not 0.
+    """
+    rows = texts.cast(pa.large_binary()).to_pylist()
+    return pa.array(
+        [t.lower() if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in rows],
+        pa.large_binary(),
+    )
 
 
 @cache
