@@ -20,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.session import cut
-from .tables import BLANKS, fingerprint, free_name, join_on, text_or_empty
+from .tables import BLANKS, fingerprint, free_name, join_on, stored, text_or_empty
 
 MIN_WORDS = 50
 # Places are numbered document * LINES + line.
@@ -31,6 +30,10 @@ KEYS = ["doc_id", "mark"]
 NULL_ID = ("doc_id",)
 
 
+def _written(df: DataFrame) -> DataFrame:
+    return stored(df, "lines")
+
+
 def _has_word(line: Column) -> Column:
     return line.rlike(f"[^{BLANKS}]")
 
@@ -40,7 +43,7 @@ def _numbered(distinct: DataFrame, order: list[Column], out: str) -> DataFrame:
 
     Rows are dealt out by ranges; the row counts of the ranges before come from one row per range.
     """
-    ranged = cut(distinct.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    ranged = _written(distinct.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
@@ -53,34 +56,34 @@ def _repeated_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Level 0: ``pos, rank, words`` of each line that occurs more than once; and the documents' numbers."""
     keyed = docs.where("text is not null").select("doc_id", fingerprint("text").alias("mark"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("mark").asc()]
-    numbers = cut(_numbered(keyed.select(*KEYS).distinct(), order, "doc"))
+    numbers = _written(_numbered(keyed.select(*KEYS).distinct(), order, "doc"))
     lines = keyed.select(*KEYS, F.posexplode(F.filter(F.split("text", "\n"), _has_word)).alias("line", "body"))
     lines = lines.select(
         *KEYS, "line", F.xxhash64("body").alias("h1"), F.xxhash64("body", F.lit(1)).alias("h2"),
         F.regexp_count("body", F.lit(f"[^{BLANKS}]+")).alias("words"),
     )
-    often = cut(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"))
-    ranks = cut(_numbered(often, [F.col("h1").asc(), F.col("h2").asc()], "rank"))
+    often = _written(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"))
+    ranks = _written(_numbered(often, [F.col("h1").asc(), F.col("h2").asc()], "rank"))
     kept = join_on(join_on(lines, ranks, ["h1", "h2"]), numbers, KEYS, null_keys=NULL_ID)
     # A place that repeated rows give twice is one place.
     placed = kept.select((F.col("doc") * LINES + F.col("line")).alias("pos"), "rank", "words")
-    placed = cut(placed.groupBy("pos").agg(F.min("rank").alias("rank"), F.min("words").alias("words")))
-    return cut(_still_repeated(placed)), numbers
+    placed = _written(placed.groupBy("pos").agg(F.min("rank").alias("rank"), F.min("words").alias("words")))
+    return _written(_still_repeated(placed)), numbers
 
 
 def _still_repeated(placed: DataFrame) -> DataFrame:
     """Without ranks that only repeated rows of one document made look repeated."""
     counts = placed.groupBy("rank").agg(F.count("*").alias("_n")).where("_n > 1").select("rank")
-    return join_on(placed, cut(counts), ["rank"])
+    return join_on(placed, _written(counts), ["rank"])
 
 
 def _doubled(level: DataFrame, step: int) -> DataFrame:
     """``pos, rank`` of the repeated runs of twice the length."""
     ahead = level.select((F.col("pos") - step).alias("pos"), F.col("rank").alias("second"))
-    pairs = cut(join_on(level.select("pos", F.col("rank").alias("first")), ahead, ["pos"]))
+    pairs = _written(join_on(level.select("pos", F.col("rank").alias("first")), ahead, ["pos"]))
     often = pairs.groupBy("first", "second").agg(F.count("*").alias("n")).where("n > 1").select("first", "second")
-    ranks = cut(_numbered(often, [F.col("first").asc(), F.col("second").asc()], "rank"))
-    return cut(join_on(pairs, ranks, ["first", "second"]).select("pos", "rank"))
+    ranks = _written(_numbered(often, [F.col("first").asc(), F.col("second").asc()], "rank"))
+    return _written(join_on(pairs, ranks, ["first", "second"]).select("pos", "rank"))
 
 
 def repeated_levels(base: DataFrame) -> list[DataFrame]:
@@ -98,11 +101,11 @@ def _partners(levels: list[DataFrame]) -> DataFrame:
     """``pos, partner, top``: of each later place the earliest place with the same 2^top lines, for the largest such top."""
     found = None
     for k, level in enumerate(levels):
-        firsts = cut(level.groupBy("rank").agg(F.min("pos").alias("partner")))
+        firsts = _written(level.groupBy("rank").agg(F.min("pos").alias("partner")))
         later = join_on(level, firsts, ["rank"]).where("partner < pos").select("pos", "partner", F.lit(k).alias("top"))
         found = later if found is None else found.unionByName(later)
     best = found.groupBy("pos").agg(F.max(F.struct("top", "partner")).alias("best"))
-    return cut(best.select("pos", "best.partner", "best.top"))
+    return _written(best.select("pos", "best.partner", "best.top"))
 
 
 def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
@@ -122,14 +125,14 @@ def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
         ahead = F.expr(f"length + shiftleft(1L, top - {halving}) - shiftleft(1L, top)")
         looked = state.where(F.col("top") >= halving).withColumns({"at": F.col("pos") + ahead, "other": F.col("partner") + ahead})
         looked = join_on(looked, ranks, ["top", "at"], "left")
-        looked = cut(join_on(looked, ranks.toDF("top", "other", "also"), ["top", "other"], "left"))
+        looked = _written(join_on(looked, ranks.toDF("top", "other", "also"), ["top", "other"], "left"))
         keys = ["top", "partner", "length", "rank"]
         apart = looked.where("rank IS NOT NULL AND NOT rank <=> also")
         firsts = apart.groupBy(*keys).agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1").select(*keys, "first")
         met = join_on(looked, firsts, keys, "left")
         behind = F.col("first") < F.col("pos")
         longer = F.when(behind, True).when(F.col("rank") == F.col("also"), True).otherwise(False)
-        state = cut(met.select(
+        state = _written(met.select(
             "pos", F.when(behind, F.col("first")).otherwise(F.col("partner")).alias("partner"), "top",
             (F.col("length") + F.when(longer, F.expr(f"shiftleft(1L, top - {halving})")).otherwise(0)).alias("length"),
         ))
@@ -144,7 +147,7 @@ def later_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     runs = _longest(_partners(levels), levels)
     doc = F.floor(F.col("pos") / LINES).cast("long")
     in_order = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    summed = cut(base.withColumn("doc", doc).withColumn("total", F.sum("words").over(in_order)))
+    summed = _written(base.withColumn("doc", doc).withColumn("total", F.sum("words").over(in_order)))
     ends = summed.select((F.col("pos") + 1).alias("end"), F.col("total").alias("last"))
     sized = join_on(runs.withColumn("end", F.col("pos") + F.col("length")), ends, ["end"]).select("pos", "end", "last")
     reach = join_on(summed, sized, ["pos"], "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.session import scratch_path
+
 # The characters that separate words, as the inside of a regular expression class.
 BLANKS = r"\x20\x09-\x0D"
 
@@ -13,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    Unlike a checkpoint it carries no partitioning and order of its joins along, which chains of self-joins would
+    double at every step.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def text_or_empty(text: Column | str) -> Column:
     return F.coalesce(text, F.lit(""))
 
