@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import cut, scratch_path
-from . import chat, decontaminate, linededup, mixing, nearcopies, pages, quality, secrets, tokencounts, tokens, warc
+from . import chat, decontaminate, linededup, mixing, nearcopies, pages, quality, secrets, tokencounts, tokens, warc, whitening
 from .oracle import ORACLE as LLM_ORACLE  # noqa: F401
 from .tables import join_on, table
 
@@ -142,6 +142,10 @@ def secrets_query(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def whitening_query(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf, "embeddings"))
+
+
 COUNTING_TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -162,5 +166,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_chat": chat_query,
     "op9_secrets": secrets_query,
     "op10_near_copies": near_copies_query,
+    "op11_whitening": whitening_query,
     "op12_token_counts": token_counts_query,
 }
