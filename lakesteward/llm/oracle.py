@@ -99,4 +99,48 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLE = {"op1_quality": QUALITY, "op2_mixing": MIXING, "op8_chat": CHAT}
+_UPPER = "".join(map(chr, range(65, 91)))
+
+DIVERGENCE = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t
+  FROM documents
+), counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs
+  FROM (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs)
+  GROUP BY lang, source, term
+), kept AS (
+  SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING sum(docs) >= 10
+), whole AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM kept
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS c
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), smoothed AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (c + 2))
+            // (sum(c) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cells
+), priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM smoothed a JOIN smoothed b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, ((p - q) * (p - q)) // (p + q)
+  FROM smoothed s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 10
+"""
+
+ORACLE = {"op1_quality": QUALITY, "op2_mixing": MIXING, "op8_chat": CHAT, "op13_divergence": DIVERGENCE}

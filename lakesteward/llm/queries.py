@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import cut, scratch_path
-from . import chat, decontaminate, linededup, mixing, nearcopies, pages, quality, secrets, tokencounts, tokens, warc, whitening
+from . import chat, decontaminate, divergence, linededup, mixing, nearcopies, pages, quality, secrets, tokencounts, tokens, warc, whitening
 from .oracle import ORACLE as LLM_ORACLE  # noqa: F401
 from .tables import join_on, table
 
@@ -155,6 +155,10 @@ def token_counts_query(spark: SparkSession, sf: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf, "documents"), public_tokenizers.path(COUNTING_TOKENIZER))
 
 
+def divergence_query(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_quality": quality_query,
     "op2_mixing": mixing_query,
@@ -168,4 +172,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_near_copies": near_copies_query,
     "op11_whitening": whitening_query,
     "op12_token_counts": token_counts_query,
+    "op13_divergence": divergence_query,
 }

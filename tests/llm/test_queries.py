@@ -12,7 +12,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):
