@@ -58,13 +58,14 @@ SELECT o_orderkey AS query_id,
     WHEN 3 THEN concat('SELECT extract(year FROM ts) FROM ev', CAST(o_custkey % 9 AS STRING))
     WHEN 4 THEN concat('INSERT INTO d3.tgt SELECT * FROM src', CAST(o_custkey % 9 AS STRING), ' -- from hidden')
     WHEN 5 THEN concat('insert overwrite `d4`.`t 4` select ', chr(39), 'from fake', chr(39), ' from s4 /* join ghost', chr(10), ' from ghost2 */')
-    WHEN 6 THEN 'DROP TABLE IF EXISTS d5.old_t'
-    WHEN 7 THEN 'drop view `#tableau_tmp1`'
+    WHEN 6 THEN concat('DROP TABLE IF EXISTS d5.old_t', CAST(o_custkey % 9 AS STRING))
+    WHEN 7 THEN concat('drop view `#tableau_tmp', CAST(o_custkey % 9 AS STRING), '`')
     WHEN 8 THEN concat('CREATE TABLE IF NOT EXISTS d6.new', CAST(o_custkey % 9 AS STRING), ' (a int)')
-    WHEN 9 THEN 'ALTER MATERIALIZED VIEW d7.mv REFRESH'
-    WHEN 10 THEN 'UPDATE c8.d8.t8 SET a = 1'
+    WHEN 9 THEN concat('ALTER MATERIALIZED VIEW d7.mv', CAST(o_custkey % 9 AS STRING), ' REFRESH')
+    WHEN 10 THEN concat('UPDATE c8.d8.t', CAST(o_custkey % 9 AS STRING), ' SET a = 1')
     WHEN 11 THEN concat('DELETE FROM d9.t', CAST(o_custkey % 9 AS STRING), ' WHERE a = 1')
-    WHEN 12 THEN 'TRUNCATE TABLE a.b.c.d'
+    WHEN 12 THEN CASE WHEN o_custkey % 2 = 0 THEN concat('TRUNCATE TABLE a.b.c.d', CAST(o_custkey % 9 AS STRING))
+                      ELSE concat('truncate table `D 10`.t', CAST(o_custkey % 9 AS STRING)) END
     ELSE concat('SET CATALOG Hive; use dbX; SELECT * FROM dual JOIN t', CAST(o_custkey % 9 AS STRING))
   END AS query
 FROM orders
@@ -163,10 +164,86 @@ SELECT CAST(c_custkey AS STRING) AS c_custkey,
 FROM customer
 """
 
+# Grants of which some cannot be read: names without a database, policies without one.
+GRANTS_MIXED = """
+SELECT c_custkey AS grant_id, 'default_catalog' AS catalog, concat('role', CAST(c_custkey % 6 AS STRING)) AS user_identity,
+  CASE CAST(c_custkey % 5 AS INT)
+    WHEN 0 THEN concat('GRANT SELECT ON TABLE nodot', CAST(c_custkey AS STRING), ' TO ROLE r')
+    WHEN 1 THEN concat('grant apply on masking policy p', CAST(c_custkey AS STRING), ' to role r')
+    WHEN 2 THEN concat('GRANT SELECT ON TABLE db', CAST(c_custkey % 7 AS STRING), '.t', CAST(c_custkey AS STRING), ' TO ROLE r')
+    WHEN 3 THEN concat('GRANT USAGE ON FUNCTION f', CAST(c_custkey AS STRING), '(int) TO ROLE r')
+    ELSE concat('GRANT ALTER ON ALL ROW ACCESS POLICIES IN DATABASE db', CAST(c_custkey % 7 AS STRING), ' TO ROLE r') END AS grant_sql
+FROM customer
+"""
+
+# Statements run by users at a time, for a while.
+USAGE_EVENTS = """
+SELECT event_id AS query_id, user_id, CAST(user_id % 10 AS INT) AS team, ts AS run_at,
+       ts + INTERVAL '1' MINUTE * CAST(floor(value) AS INT) AS done_at,
+       concat('db', CAST(user_id % 4 AS STRING), '.t', CAST(event_id % 53 AS STRING)) AS table_name
+FROM events
+"""
+
+# Versions of what each user was granted; the last one of a time counts.
+GRANT_VERSIONS = """
+SELECT o_orderkey AS grant_id, 'default_catalog' AS catalog, o_custkey % 150 AS user_id,
+       CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ)
+         + INTERVAL '18' MINUTE * CAST((year(o_orderdate) - 1995) * 372 + (month(o_orderdate) - 1) * 31 + day(o_orderdate) - 1 AS INT) AS valid_from,
+       concat('u', CAST(o_custkey % 150 AS STRING), '@%') AS user_identity,
+       concat('GRANT ', CASE WHEN o_orderkey % 3 = 0 THEN 'SELECT' WHEN o_orderkey % 3 = 1 THEN 'SELECT, INSERT' ELSE 'DELETE' END,
+              ' ON TABLE db', CAST(o_orderkey % 7 AS STRING), '.t', CAST(o_orderkey AS STRING), ' TO USER x') AS grant_sql
+FROM orders
+"""
+
+# Schedules of teams: short ones, some without an end, and one in 500 over all time.
+SCHEDULES = """
+SELECT c_custkey AS schedule_id, CAST(c_custkey % 10 AS INT) AS team,
+       CASE WHEN c_custkey % 500 = 7 THEN NULL
+            ELSE CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ) + INTERVAL '1' MINUTE * CAST((c_custkey * 7919) % 43200 AS INT) END AS valid_from,
+       CASE WHEN c_custkey % 50 = 7 THEN NULL
+            ELSE CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ)
+                 + INTERVAL '1' MINUTE * CAST((c_custkey * 7919) % 43200 + (c_custkey * 37) % 600 - 5 AS INT) END AS valid_until
+FROM customer
+"""
+
+# Role and table grants: users have roles, roles have roles above them and, every tenth, their neighbour as well, which has them in turn.
+ROLE_GRANTS = """
+SELECT c_custkey AS grant_id, 'default_catalog' AS catalog, concat('u', CAST(c_custkey AS STRING), '@%') AS user_identity,
+       concat('GRANT ', chr(39), 'r', CAST(c_custkey % 400 AS STRING), chr(39), ' TO USER x') AS grant_sql
+FROM customer
+UNION ALL
+SELECT p_partkey, 'default_catalog', concat('r', CAST(p_partkey AS STRING)),
+       concat('GRANT r', CAST(CAST(floor(p_partkey / 3) AS BIGINT) AS STRING),
+              CASE WHEN p_partkey % 10 = 0 THEN concat(', r', CAST(p_partkey + 1 AS STRING)) ELSE '' END, ' TO ROLE x')
+FROM part
+UNION ALL
+SELECT p_partkey, 'default_catalog', concat('r', CAST(p_partkey + 1 AS STRING)),
+       concat('GRANT r', CAST(p_partkey AS STRING), ' TO ROLE x')
+FROM part WHERE p_partkey % 10 = 0
+UNION ALL
+SELECT p_partkey, 'default_catalog', concat('r', CAST(p_partkey AS STRING)),
+       concat('GRANT SELECT, INSERT ON TABLE db', CAST(p_partkey % 7 AS STRING), '.t', CAST(p_partkey AS STRING), ' TO ROLE x')
+FROM part WHERE p_partkey % 5 = 0
+"""
+
+# The listing some time later: rows went, sizes changed, and some rows are there twice.
+LISTING_AFTER = f"""
+SELECT a.name, a.atime, a.mtime, a.ctime, CASE WHEN a.size_byte % 7168 = 0 THEN a.size_byte + 1 ELSE a.size_byte END AS size_byte, a.type,
+       a.acl, a.`user`, a.`group`, a.file_type, a.dt
+FROM ({LISTING}) a WHERE a.size_byte <> 5120
+UNION ALL
+SELECT concat(b.name, '/new'), b.atime, b.mtime, b.ctime, b.size_byte, b.type, b.acl, b.`user`, b.`group`, b.file_type, b.dt
+FROM ({LISTING}) b WHERE b.size_byte % 11264 = 0
+UNION ALL
+SELECT c.name, c.atime, c.mtime, c.ctime, c.size_byte, c.type, c.acl, c.`user`, c.`group`, c.file_type, c.dt
+FROM ({LISTING}) c WHERE c.size_byte = 9216
+"""
+
 STATEMENTS = {
     "listing": LISTING, "locations": LOCATIONS, "querylog": QUERYLOG, "grants": GRANTS,
     "policies": POLICIES, "catalogue": CATALOGUE, "names": NAMES, "definitions": DEFINITIONS,
-    "users": USERS, "lookups": LOOKUPS, "raw_load": RAW_LOAD,
+    "users": USERS, "lookups": LOOKUPS, "raw_load": RAW_LOAD, "usage_events": USAGE_EVENTS, "grants_mixed": GRANTS_MIXED,
+    "grant_versions": GRANT_VERSIONS, "schedules": SCHEDULES, "role_grants": ROLE_GRANTS, "listing_after": LISTING_AFTER,
 }
 
 

@@ -22,6 +22,7 @@ def _fixture(name: str) -> str:
     statement = fixtures.STATEMENTS[name]
     for word in ("user", "group"):
         statement = statement.replace(f"`{word}`", f'"{word}"')
+    statement = statement.replace("TIMESTAMP_NTZ", "TIMESTAMP")
     return f"{name} AS ({statement})"
 
 
@@ -641,4 +642,77 @@ LISTS = {
     ),
 }
 
-ORACLE: dict[str, str] = {**INVENTORY, **GRANTS, **LOG, **POLICIES, **SOURCES, **LISTS}
+_ROLLUP_LEVELS = " UNION ALL ".join(
+    f"SELECT {k} AS path_level, "
+    + ("'/'" if not k else "'/' || " + " || '/' || ".join(_LEVELS[1:k + 1]))
+    + " AS path, size, owner FROM leveled"
+    + (" WHERE " + " AND ".join(f"{c} <> ''" for c in _LEVELS[1:k + 1]) if k else "")
+    for k in range(7)
+)
+_LISTED = 'name, atime, mtime, ctime, size_byte, type, acl, "user", "group", file_type, dt'
+
+# Usage, grants and listings over time.
+OVER_TIME = {
+    "inv_rollup": _inventory(
+        "SELECT CAST(path_level AS INT) AS path_level, path, count(*) AS objects, CAST(sum(size) AS BIGINT) AS total_size, "
+        f"count(DISTINCT owner) AS owners FROM ({_ROLLUP_LEVELS}) GROUP BY ALL",
+        f'leveled AS (SELECT {_PATH}, coalesce(size_byte, 0) AS size, "user" AS owner FROM good)',
+    ),
+    "inv_diff": _with(
+        _fixture("listing"), _fixture("listing_after"),
+        f"gone AS (SELECT {_LISTED} FROM listing EXCEPT ALL SELECT {_LISTED} FROM listing_after)",
+        f"come AS (SELECT {_LISTED} FROM listing_after EXCEPT ALL SELECT {_LISTED} FROM listing)",
+        f"moved AS (SELECT {_LISTED}, -count(*) AS copies FROM gone GROUP BY ALL UNION ALL SELECT {_LISTED}, count(*) FROM come GROUP BY ALL)",
+    ) + (
+        f"SELECT {_LISTED}, CAST(copies AS BIGINT) AS copies, CASE WHEN name IN (SELECT name FROM gone) AND name IN (SELECT name FROM come) THEN 'changed' "
+        "WHEN copies > 0 THEN 'added' ELSE 'removed' END AS status FROM moved"
+    ),
+    "grant_rejects": _with(_fixture("grants_mixed")) + (
+        "SELECT grant_id, grant_sql, CASE WHEN grant_sql ILIKE '% policy %' THEN 'policy without a database' ELSE 'object without a dot' END AS reject_reason "
+        "FROM grants_mixed WHERE NOT grant_sql LIKE '%.%' AND NOT grant_sql ILIKE '% in %'"
+    ),
+    "grant_effective": "WITH RECURSIVE " + ",\n".join([
+        _fixture("role_grants"),
+        """parsed AS (SELECT string_split(user_identity, '@') AS who, regexp_extract(grant_sql, 'GRANT (.*?)( ON | TO )', 1) AS items,
+        regexp_extract(grant_sql, ' ON TABLE (.*) TO ', 1) AS object FROM role_grants)""",
+        """has AS (SELECT DISTINCT who, trim(replace(t.v, '''', '')) AS role FROM parsed, unnest(string_split(items, ',')) t(v) WHERE object = '')""",
+        """rights AS (SELECT DISTINCT who, object, trim(t.v) AS permission FROM parsed, unnest(string_split(items, ',')) t(v) WHERE object <> '')""",
+        """reach AS (SELECT who, role FROM has UNION SELECT r.who, h.role FROM reach r JOIN has h ON len(h.who) = 1 AND h.who[1] = r.role)""",
+        """granted AS (SELECT who, object, permission FROM rights
+        UNION SELECT r.who, g.object, g.permission FROM reach r JOIN rights g ON len(g.who) = 1 AND g.who[1] = r.role)""",
+    ]) + (
+        "\nSELECT CASE len(who) WHEN 1 THEN 'ROLE' ELSE 'USER' END AS grantee_type, who[1] AS grantee_name, coalesce(who[2], '') AS ip, "
+        "'TABLE' AS object_type, '' AS object_name, split_part(object, '.', 1) AS object_db_name, split_part(object, '.', 2) AS object_tbl_name, "
+        "permission FROM granted"
+    ),
+    "asof_grants": _with(
+        _fixture("usage_events"), _fixture("grant_versions"),
+        "latest AS (SELECT * FROM grant_versions QUALIFY row_number() OVER (PARTITION BY user_id, valid_from ORDER BY grant_id DESC) = 1)",
+    ) + (
+        "SELECT query_id, u.user_id, run_at, grant_id, valid_from, "
+        "replace(regexp_extract(grant_sql, 'GRANT (.*) ON TABLE', 1), ', ', ',') AS permissions, "
+        r"regexp_extract(grant_sql, 'ON TABLE (\w+)\.', 1) AS object_db_name, regexp_extract(grant_sql, '\.(\w+) TO ', 1) AS object_tbl_name "
+        "FROM usage_events u ASOF LEFT JOIN latest v ON u.user_id = v.user_id AND u.run_at >= v.valid_from"
+    ),
+    "log_errors": _log("SELECT query_id, action, name FROM qualified WHERE is_error"),
+    "usage_topk": (
+        "SELECT catalog, action, db_name, table_name, uses, CAST(row_number() OVER w AS INT) AS rank "
+        f"FROM (SELECT catalog, action, db_name, table_name, count(*) AS uses FROM ({LOG['log_usage']}) GROUP BY ALL) "
+        "WINDOW w AS (PARTITION BY catalog, action ORDER BY uses DESC, db_name, table_name) QUALIFY row_number() OVER w <= 3"
+    ),
+    "usage_in_validity": _with(_fixture("usage_events"), _fixture("schedules")) + (
+        "SELECT query_id, schedule_id, u.team, run_at, valid_from, valid_until FROM usage_events u JOIN schedules s ON u.team = s.team "
+        "AND coalesce(valid_from <= done_at, true) AND coalesce(valid_until >= run_at, true) AND coalesce(valid_from <= valid_until, true)"
+    ),
+    "usage_sessions": _with(
+        _fixture("usage_events"),
+        "marked AS (SELECT user_id, run_at, coalesce(run_at - lag(run_at) OVER w >= INTERVAL 30 MINUTE, true) AS fresh "
+        "FROM usage_events WINDOW w AS (PARTITION BY user_id ORDER BY run_at))",
+        "numbered AS (SELECT user_id, run_at, count_if(fresh) OVER (PARTITION BY user_id ORDER BY run_at) AS n FROM marked)",
+    ) + 'SELECT user_id AS "user", min(run_at) AS started, max(run_at) AS ended, count(*) AS events FROM numbered GROUP BY user_id, n',
+    "usage_last_use": _with(_fixture("usage_events"))
+    + "SELECT table_name, min(run_at) AS first_use, max(run_at) AS last_use, count(*) AS uses FROM usage_events GROUP BY table_name",
+    "pol_rejects": _with(_fixture("policies")) + "SELECT id, 'unsupported object' AS reject_reason FROM policies WHERE id % 13 = 5",
+}
+
+ORACLE: dict[str, str] = {**OVER_TIME, **INVENTORY, **GRANTS, **LOG, **POLICIES, **SOURCES, **LISTS}

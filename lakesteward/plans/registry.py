@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions import enums, lists
 from ..functions.maps import map_invert
-from ..operators import catalog, chunks, grants, inventory, maptables, policies, usage
-from ..sources import load, readers, sinks
+from ..operators import catalog, chunks, closure, grants, inventory, joins, maptables, policies, summaries, usage
+from ..sources import exports, load, readers, sinks
 from ..sources.session import scratch_path
+from ..streaming import jobs
+from ..streaming import usage as usage_stream
 from .fixtures import fixture, part_maps, table, tagged_fields, word_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,9 @@ ORDERS_SCHEMA = (
     "o_orderdate timestamp_ntz, o_orderpriority string"
 )
 BATCH_ROWS = 1000
+EXPORT_RANGE = 1 << 16
+TOP_TABLES = 3
+SESSION_GAP, SESSION_DELAY = "30 minutes", "1 hour"
 CHUNK_ROWS = 500
 PAYLOAD_ROWS = 200
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -122,8 +127,16 @@ def _batch_process(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _exported(rows: DataFrame, field: str | None = None) -> str:
+    """Path of an export with the rows' ``body`` documents."""
+    path = scratch_path(rows.sparkSession, "export")
+    exports.write_export(rows, path, field)
+    return path
+
+
 def _scan_policies(spark: SparkSession, sf: str) -> DataFrame:
-    read = policies.scan_policies(fixture(spark, sf, "policies"), ["HIVE", "cos", "unknown"])
+    bodies = exports.read_policies(spark, _exported(fixture(spark, sf, "policies")), range_bytes=EXPORT_RANGE)
+    read = policies.scan_policies(bodies, ["HIVE", "cos", "unknown"])
     return read.select("id", F.col("doc.name").alias("name"), F.col("doc.serviceType").alias("service_type"))
 
 
@@ -132,8 +145,22 @@ def _policies_by_id(spark: SparkSession, sf: str) -> DataFrame:
     return policies.policies_by_id(fixture(spark, sf, "policies"), ids)
 
 
+def _service_types(spark: SparkSession, sf: str) -> DataFrame:
+    body = F.to_json(F.struct(
+        "id", "name", F.lit(True).alias("isEnabled"), F.struct(F.lit("true").alias("enableDenyAndExceptionsInPolicies")).alias("options"),
+        F.array(F.struct(F.lit(1).alias("itemId"), F.col("name").alias("name"))).alias("accessTypes"),
+    ))
+    path = _exported(fixture(spark, sf, "definitions").select(body.alias("body")), "serviceDefs")
+    return policies.service_types(exports.read_definitions(spark, path, range_bytes=EXPORT_RANGE))
+
+
 def _user_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return policies.user_lookup(fixture(spark, sf, "lookups"), fixture(spark, sf, "users"), "seq")
+    users = fixture(spark, sf, "users")
+    body = F.to_json(F.struct("id", "name", F.array("id").alias("groupIdList"), F.lit('a \\ "{[').alias("description")))
+    ordered = users.repartitionByRange("seq").sortWithinPartitions("seq")
+    path = _exported(ordered.select(body.alias("body")), "vXUsers")
+    read = exports.read_users(spark, path, range_bytes=EXPORT_RANGE)
+    return policies.user_lookup(fixture(spark, sf, "lookups"), read.select("name", "id", "seq"), "seq")
 
 
 def _scan_inventory(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,6 +283,78 @@ def _pol_filters(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select("policy_id", "permission_type", "object_type", "object_name", "grantee")
 
 
+# --- usage and grants over time ----------------------------------------------
+
+def _asof_grants(spark: SparkSession, sf: str) -> DataFrame:
+    used, versions = fixture(spark, sf, "usage_events"), fixture(spark, sf, "grant_versions")
+    joined = joins.asof_join(
+        used, versions, ["user_id"], "run_at", "valid_from", ["grant_id", "catalog", "valid_from", "user_identity", "grant_sql"], ["grant_id"]
+    )
+    parsed = grants.parse_grants(joined)
+    granted = F.col("grant_id").isNotNull()
+    return parsed.select(
+        "query_id", "user_id", "run_at", "grant_id", "valid_from",
+        *[F.when(granted, c).alias(n) for n, c in (
+            ("permissions", _text("permissions")), ("object_db_name", F.col("object_db_name")), ("object_tbl_name", F.col("object_tbl_name")),
+        )],
+    )
+
+
+def _usage_in_validity(spark: SparkSession, sf: str) -> DataFrame:
+    used, schedules = fixture(spark, sf, "usage_events"), fixture(spark, sf, "schedules")
+    pairs = joins.overlap_join(used, schedules, ("run_at", "done_at"), ("valid_from", "valid_until"), ["team"])
+    return pairs.select("query_id", "schedule_id", "team", "run_at", "valid_from", "valid_until")
+
+
+def _usage_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return summaries.usage_top(usage.log_usage(fixture(spark, sf, "querylog")), TOP_TABLES)
+
+
+def _inv_diff(spark: SparkSession, sf: str) -> DataFrame:
+    return summaries.snapshot_difference(fixture(spark, sf, "listing"), fixture(spark, sf, "listing_after"), "name")
+
+
+def _timed_usage(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """The usage events with an instant, and the path where they stand as files for a stream."""
+    used = fixture(spark, sf, "usage_events").withColumn("run_at", F.col("run_at").cast("timestamp"))
+    path = scratch_path(spark, "events")
+    used.write.parquet(path)
+    return used, path
+
+
+def _usage_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions from the stream; a last event far off lets the watermark pass all others, in a second run from the checkpoint."""
+    used, path = _timed_usage(spark, sf)
+    out, checkpoint = scratch_path(spark, "sessions"), scratch_path(spark, "checkpoint")
+
+    def run() -> None:
+        stream = jobs.stream_files(spark, path, used.schema)
+        jobs.run_job(stream, lambda s: usage_stream.usage_sessions(s, "user_id", "run_at", SESSION_GAP, SESSION_DELAY), out, checkpoint).awaitTermination()
+
+    run()
+    last = used.agg(F.max("run_at").alias("run_at")).where("run_at is not null")
+    end = last.select(*[
+        (F.col("run_at") + F.expr("INTERVAL 400 DAYS")).alias("run_at") if c == "run_at" else F.lit(None).cast(used.schema[c].dataType).alias(c)
+        for c in used.columns
+    ])
+    end.write.mode("append").parquet(path)
+    run()
+    read = spark.read.schema("user bigint, started timestamp, ended timestamp, events bigint").parquet(out)
+    return read.select("user", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "ended")], "events")
+
+
+def _usage_last_use(spark: SparkSession, sf: str) -> DataFrame:
+    """First and last use of each table, kept in a stream's state over two runs from one checkpoint."""
+    used, path = _timed_usage(spark, sf)
+    out, checkpoint = scratch_path(spark, "uses"), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        stream = jobs.stream_files(spark, path, used.schema, files_per_trigger=4)
+        usage_stream.run_last_use(spark, stream, out, checkpoint, "table_name", "run_at", "400 days", 400 * 86_400_000).awaitTermination()
+    latest = usage_stream.latest_use(spark, out)
+    times = [F.timestamp_micros(f"{c}_us").cast("timestamp_ntz").alias(f"{c}_use") for c in ("first", "last")]
+    return latest.select(F.col("key").alias("table_name"), *times, "uses")
+
+
 QUERIES: dict[str, Query] = {
     "storage_per_table": storage_per_table,
     # sources and sinks
@@ -267,7 +366,7 @@ QUERIES: dict[str, Query] = {
     "batch_process": _batch_process,
     "scan_policies": _scan_policies,
     "policies_by_id": _policies_by_id,
-    "service_types": _on("definitions", policies.service_types),
+    "service_types": _service_types,
     "user_lookup": _user_lookup,
     "scan_inventory": _scan_inventory,
     "load_payloads": _load_payloads,
@@ -283,6 +382,8 @@ QUERIES: dict[str, Query] = {
     "inv_location_prefix": _inventory(inventory.match_location_prefixes),
     "inv_slim": _on("listing", inventory.inventory_slim),
     "inv_full": _inventory(inventory.inventory_full),
+    "inv_rollup": _on("listing", summaries.path_rollup),
+    "inv_diff": _inv_diff,
     # grants
     "grant_grantee": _on("grants", grants.grant_grantees),
     "grant_object_type": _on("grants", grants.grant_object_types),
@@ -290,6 +391,9 @@ QUERIES: dict[str, Query] = {
     "grant_privileges": _on("grants", grants.grant_privileges),
     "grant_flat": _grant_flat,
     "enum_lookup": _enum_lookup,
+    "grant_rejects": _on("grants_mixed", lambda g: grants.grant_rejects(g).select("grant_id", "grant_sql", "reject_reason")),
+    "grant_effective": _on("role_grants", closure.effective_grants),
+    "asof_grants": _asof_grants,
     # query log
     "log_default_catalog": _on("querylog", usage.log_default_catalog),
     "log_clean": _on("querylog", usage.log_clean),
@@ -309,6 +413,11 @@ QUERIES: dict[str, Query] = {
     "log_ignore_lists": _on("querylog", usage.log_ignored, ignore_tables=["T3"], ignore_signs=["old_"]),
     "log_qualify": _on("querylog", usage.log_qualified),
     "log_usage": _on("querylog", usage.log_usage),
+    "log_errors": _on("querylog", usage.log_errors),
+    "usage_topk": _usage_topk,
+    "usage_in_validity": _usage_in_validity,
+    "usage_sessions": _usage_sessions,
+    "usage_last_use": _usage_last_use,
     # access policies
     "pol_object_type": _on("policies", policies.policy_object_types),
     "pol_objects": _on_policies(policies.policy_objects, ("object_column",)),
@@ -322,6 +431,7 @@ QUERIES: dict[str, Query] = {
         policies.policy_flat, ("permission", "object_column", "object_restriction", "validity_schedules")
     ),
     "pol_filters": _pol_filters,
+    "pol_rejects": _on_policies(lambda b, as_of: policies.policy_rejects(b, as_of).select("id", "reject_reason")),
     # lists, maps, schemas
     "list_intersect": _on_words(words=lambda: _text(lists.list_intersect(F.col("a"), F.col("b")), "|")),
     "list_contains": _on_words(found=lambda: lists.list_contains(F.col("b"), F.lower(_last_word()))),

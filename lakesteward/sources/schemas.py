@@ -11,7 +11,11 @@ QUERY_LOG = "query_id bigint, catalog string, db_name string, query string"
 
 GRANTS = "grant_id bigint, catalog string, user_identity string, grant_sql string"
 
-USERS = "name string, id int"
+USERS = (
+    "id int, createDate timestamp, updateDate timestamp, emailAddress string, owner string, updatedBy string, name string, "
+    "password string, description string, groupIdList array<int>, groupNameList array<string>, status int, isVisible int, "
+    "userSource int, userRoleList array<string>, otherAttributes string, syncSource string, firstName string, lastName string"
+)
 
 _RESOURCE = "struct<values: array<string>, isExcludes: boolean, isRecursive: boolean>"
 
@@ -41,4 +45,16 @@ POLICY = (
     "policyLabels array<string>, zoneName string"
 )
 
-SERVICE_DEFINITION = "id int, name string"
+SERVICE_DEFINITION = (
+    "id int, guid string, isEnabled boolean, createTime bigint, updateTime bigint, version int, name string, displayName string, "
+    "implClass string, label string, description string, "
+    "options struct<enableDenyAndExceptionsInPolicies: string, `ui.pages`: string>, "
+    "configs array<struct<itemId: int, name: string, type: string, subType: string, mandatory: boolean, validationRegEx: string, "
+    "validationMessage: string, uiHint: string, label: string, defaultValue: string>>, "
+    "resources array<struct<itemId: int, name: string, type: string, level: int, mandatory: boolean, lookupSupported: boolean, "
+    "recursiveSupported: boolean, excludesSupported: boolean, matcher: string, "
+    "matcherOptions: struct<wildCard: string, ignoreCase: string, pathSeparatorChar: string>, validationRegEx: string, "
+    "validationMessage: string, uiHint: string, label: string, description: string, accessTypeRestrictions: array<string>, "
+    "isValidLeaf: boolean, parent: string>>, "
+    "accessTypes array<struct<itemId: int, name: string, label: string, impliedGrants: array<string>>>"
+)
