@@ -53,21 +53,25 @@ def _numbered(distinct: DataFrame, order: list[Column], out: str) -> DataFrame:
 
 
 def _repeated_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Level 0: ``pos, rank, words`` of each line that occurs more than once; and the documents' numbers."""
+    """Level 0: ``pos, rank, words, place`` of each line that occurs more than once; and the documents' numbers.
+
+    ``pos`` counts a document's lines with a word, ``place`` all its lines.
+    """
     keyed = docs.where("text is not null").select("doc_id", fingerprint("text").alias("mark"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("mark").asc()]
     numbers = _written(_numbered(keyed.select(*KEYS).distinct(), order, "doc"))
-    lines = keyed.select(*KEYS, F.posexplode(F.filter(F.split("text", "\n"), _has_word)).alias("line", "body"))
-    lines = lines.select(
-        *KEYS, "line", F.xxhash64("body").alias("h1"), F.xxhash64("body", F.lit(1)).alias("h2"),
+    every = F.transform(F.split("text", "\n"), lambda body, place: F.struct(body.alias("body"), place.alias("place")))
+    lines = keyed.select(*KEYS, F.posexplode(F.filter(every, lambda x: _has_word(x["body"]))).alias("line", "held"))
+    lines = lines.select(*KEYS, "line", F.col("held.place").alias("place"), F.col("held.body").alias("body")).select(
+        *KEYS, "line", "place", F.xxhash64("body").alias("h1"), F.xxhash64("body", F.lit(1)).alias("h2"),
         F.regexp_count("body", F.lit(f"[^{BLANKS}]+")).alias("words"),
     )
     often = _written(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"))
     ranks = _written(_numbered(often, [F.col("h1").asc(), F.col("h2").asc()], "rank"))
     kept = join_on(join_on(lines, ranks, ["h1", "h2"]), numbers, KEYS, null_keys=NULL_ID)
     # A place that repeated rows give twice is one place.
-    placed = kept.select((F.col("doc") * LINES + F.col("line")).alias("pos"), "rank", "words")
-    placed = _written(placed.groupBy("pos").agg(F.min("rank").alias("rank"), F.min("words").alias("words")))
+    placed = kept.select((F.col("doc") * LINES + F.col("line")).alias("pos"), "rank", "words", "place")
+    placed = _written(placed.groupBy("pos").agg(*[F.min(c).alias(c) for c in ("rank", "words", "place")]))
     return _written(_still_repeated(placed)), numbers
 
 
@@ -141,7 +145,7 @@ def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
 
 
 def later_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``doc, line`` of every line to delete, and the documents' numbers."""
+    """``doc, place`` of every line to delete, and the documents' numbers."""
     base, numbers = _repeated_lines(docs)
     levels = repeated_levels(base)
     runs = _longest(_partners(levels), levels)
@@ -153,31 +157,29 @@ def later_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reach = join_on(summed, sized, ["pos"], "left")
     long_enough = F.when(F.col("last") - F.col("total") + F.col("words") >= MIN_WORDS, F.col("end"))
     reached = reach.withColumn("reach", F.max(long_enough).over(in_order)).where("reach > pos")
-    return reached.select("doc", F.pmod("pos", F.lit(LINES)).cast("int").alias("line")), numbers
+    return reached.select("doc", "place"), numbers
 
 
 def _removed(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, removed``: the numbers of a document's deleted lines, counted over its lines with a word."""
+    """``doc_id, mark, removed``: the places of a document's deleted lines among all its lines."""
     lines, numbers = later_copies(docs)
-    lists = lines.groupBy("doc").agg(F.collect_list("line").alias("removed"))
+    lists = lines.groupBy("doc").agg(F.collect_list("place").alias("removed"))
     return join_on(lists, numbers, ["doc"]).select(*KEYS, "removed")
 
 
-def _left(text: Column, removed: Column) -> Column:
-    """The text without the removed lines."""
-    lines = F.split(text, "\n")
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    filled = F.filter(every, lambda i: _has_word(F.get(lines, i)))
-    gone = F.transform(removed, lambda k: F.get(filled, k))
-    return F.array_join(F.transform(F.array_except(every, gone), lambda i: F.get(lines, i)), "\n")
+def _left(lines: Column, removed: Column) -> Column:
+    """The text of the lines that are not removed. ``lines`` must be a column, as an expression would be evaluated for each line."""
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_removed, text`` of each document; lines are those with a word."""
     held = docs.select("doc_id", fingerprint("text").alias("mark"), "text")
     joined = join_on(held, _removed(docs), KEYS, "left", NULL_ID)
-    n_lines = F.size(F.filter(F.split(text_or_empty("text"), "\n"), _has_word))
-    left = F.when(F.col("removed").isNotNull(), _left(F.col("text"), F.col("removed"))).otherwise(F.col("text"))
+    joined = joined.withColumn("lines", F.split(text_or_empty("text"), "\n"))
+    n_lines = F.size(F.filter("lines", _has_word))
+    left = F.when(F.col("removed").isNotNull(), _left(F.col("lines"), F.col("removed"))).otherwise(F.col("text"))
     return joined.select(
         "doc_id", n_lines.cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), left.alias("text"),
@@ -191,6 +193,7 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.col("doc_id"), fingerprint("text").alias("mark")
     )
     joined = join_on(held, _removed(docs), KEYS, "left", NULL_ID)
-    text = F.col(whole)["text"]
-    left = F.when(F.col("removed").isNotNull(), _left(text, F.col("removed"))).otherwise(text)
+    text, lines = F.col(whole)["text"], free_name(joined, "lines")
+    joined = joined.withColumn(lines, F.split(text, "\n"))
+    left = F.when(F.col("removed").isNotNull(), _left(F.col(lines), F.col("removed"))).otherwise(text)
     return joined.select(*[(left if c == "text" else F.col(whole)[c]).alias(c) for c in docs.columns])

@@ -10,28 +10,44 @@ from lakesteward.llm.tables import table
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def _documents(rows):
+    return sorted({(d, t) for d, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, _mark(r[1])))
+
+
+def _longest_earlier(lines):
+    """``{(document, line): lines}``: the most lines from each place on that an earlier place has as well, by sorted suffixes."""
+    suffixes = sorted((tuple(body[j:]), i, j) for i, body in enumerate(lines) for j in range(len(body)))
+    out = {}
+    for at, (mine, i, j) in enumerate(suffixes):
+        best = 0
+        for step in (-1, 1):
+            # The common prefix with what lies further off in sorted order never grows.
+            common, k = len(mine), at + step
+            while 0 <= k < len(suffixes) and common > best:
+                theirs = suffixes[k][0]
+                n = 0
+                while n < min(common, len(theirs)) and mine[n] == theirs[n]:
+                    n += 1
+                common = n
+                if suffixes[k][1:] < (i, j):
+                    best = max(best, common)
+                k += step
+        out[i, j] = best
+    return out
+
+
 def _brute(rows):
-    """The rule of the module text on nested loops: class by 2^k lines, earliest place, common prefix, words."""
-    docs = sorted({(d, t) for d, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, _mark(r[1])))
+    """The definition in plain Python: from each place the longest run that an earlier place has as well."""
+    docs = _documents(rows)
     lines = [[x for x in t.split("\n") if WORD.search(x)] for _, t in docs]
-    first = [{} for _ in range(12)]
-    for i, body in enumerate(lines):
-        for j in range(len(body)):
-            for k in range(12):
-                if j + 2**k <= len(body):
-                    first[k].setdefault(tuple(body[j:j + 2**k]), (i, j))
+    longest = _longest_earlier(lines)
     out = {}
     for i, body in enumerate(lines):
         gone = set()
         for j in range(len(body)):
-            tops = [k for k in range(12) if j + 2**k <= len(body) and first[k][tuple(body[j:j + 2**k])] < (i, j)]
-            if tops:
-                a, b = first[tops[-1]][tuple(body[j:j + 2**tops[-1]])]
-                n = 0
-                while j + n < len(body) and b + n < len(lines[a]) and body[j + n] == lines[a][b + n]:
-                    n += 1
-                if sum(len(WORD.findall(x)) for x in body[j:j + n]) >= ld.MIN_WORDS:
-                    gone |= set(range(j, j + n))
+            n = longest[i, j]
+            if sum(len(WORD.findall(x)) for x in body[j:j + n]) >= ld.MIN_WORDS:
+                gone |= set(range(j, j + n))
         kept, at = [], 0
         for x in docs[i][1].split("\n"):
             if WORD.search(x):
@@ -87,7 +103,7 @@ def test_columns_stay(spark):
 
 def _longest_runs(rows):
     """The definition itself: from each place the most lines that an earlier place has as well."""
-    docs = sorted({(d, t) for d, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, _mark(r[1])))
+    docs = _documents(rows)
     lines = [[x for x in t.split("\n") if WORD.search(x)] for _, t in docs]
     places = [(i, j) for i, body in enumerate(lines) for j in range(len(body))]
     gone = [set() for _ in docs]
@@ -121,3 +137,14 @@ def test_edited_copies_match_the_definition(spark, seed, monkeypatch):
             body[rng.randrange(len(body))] = f"l{rng.randrange(4)} w"
         rows.append((i, "\n".join(body)))
     assert [r[:3] for r in _found(spark, rows)] == _longest_runs(rows)
+
+
+def test_many_lines_in_one_text(spark):
+    """A text of many lines of which many go takes time in proportion to them."""
+    import time
+
+    body = [f"line {i} of a long text" for i in range(60_000)]
+    rows = [(1, "\n".join(body)), (2, "\n\n" + "\n".join(body[1000:] + ["one more"]))]
+    start = time.time()
+    assert [(r[0], r[1], r[2], len(r[3])) for r in _found(spark, rows)] == [("1", 60_000, 0, len(rows[0][1])), ("2", 59_001, 59_000, 10)]
+    assert time.time() - start < 300
