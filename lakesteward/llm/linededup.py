@@ -26,12 +26,15 @@ MIN_WORDS = 50
 # Places are numbered document * LINES + line.
 LINES = 1 << 26
 MAX_LEVELS = 26
+# Levels are written in files of so many rows, so that the small ones of high levels cost few tasks.
+FILE_ROWS = 250_000
 KEYS = ["doc_id", "mark"]
 NULL_ID = ("doc_id",)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    return stored(df, "lines")
+def _written(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Written and read back; with ``rows``, which it has at most, in as many files as they need."""
+    return stored(df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS))), "lines")
 
 
 def _has_word(line: Column) -> Column:
@@ -81,21 +84,22 @@ def _still_repeated(placed: DataFrame) -> DataFrame:
     return join_on(placed, _written(counts), ["rank"])
 
 
-def _doubled(level: DataFrame, step: int) -> DataFrame:
-    """``pos, rank`` of the repeated runs of twice the length."""
+def _doubled(level: DataFrame, step: int, rows: int) -> DataFrame:
+    """``pos, rank`` of the repeated runs of twice the length; ``rows`` are those of the level."""
     ahead = level.select((F.col("pos") - step).alias("pos"), F.col("rank").alias("second"))
-    pairs = _written(join_on(level.select("pos", F.col("rank").alias("first")), ahead, ["pos"]))
+    pairs = _written(join_on(level.select("pos", F.col("rank").alias("first")), ahead, ["pos"]), rows)
     often = pairs.groupBy("first", "second").agg(F.count("*").alias("n")).where("n > 1").select("first", "second")
-    ranks = _written(_numbered(often, [F.col("first").asc(), F.col("second").asc()], "rank"))
-    return _written(join_on(pairs, ranks, ["first", "second"]).select("pos", "rank"))
+    ranks = _written(_numbered(often, [F.col("first").asc(), F.col("second").asc()], "rank"), rows)
+    return _written(join_on(pairs, ranks, ["first", "second"]).select("pos", "rank"), rows)
 
 
 def repeated_levels(base: DataFrame) -> list[DataFrame]:
     """Level k: ``pos, rank`` of all places whose next 2^k lines occur at another place too."""
-    levels = [base.select("pos", "rank")]
+    levels, rows = [base.select("pos", "rank")], base.count()
     while len(levels) <= MAX_LEVELS:
-        level = _doubled(levels[-1], 1 << (len(levels) - 1))
-        if level.isEmpty():
+        level = _doubled(levels[-1], 1 << (len(levels) - 1), rows)
+        rows = level.count()
+        if not rows:
             break
         levels.append(level)
     return levels
@@ -105,11 +109,11 @@ def _partners(levels: list[DataFrame]) -> DataFrame:
     """``pos, partner, top``: of each later place the earliest place with the same 2^top lines, for the largest such top."""
     found = None
     for k, level in enumerate(levels):
-        firsts = _written(level.groupBy("rank").agg(F.min("pos").alias("partner")))
+        firsts = level.groupBy("rank").agg(F.min("pos").alias("partner"))
         later = join_on(level, firsts, ["rank"]).where("partner < pos").select("pos", "partner", F.lit(k).alias("top"))
         found = later if found is None else found.unionByName(later)
     best = found.groupBy("pos").agg(F.max(F.struct("top", "partner")).alias("best"))
-    return _written(best.select("pos", "best.partner", "best.top"))
+    return _written(best.select("pos", "best.partner", "best.top"), levels[0].count())
 
 
 def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
@@ -120,6 +124,7 @@ def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
     Any earlier place with more lines is found so: the earliest of its class stands in for it.
     """
     state = pairs.select("pos", "partner", "top", F.expr("shiftleft(1L, top)").alias("length"))
+    rows = pairs.count()
     done = state.where("top = 0")
     for halving in range(1, len(levels)):
         ranks = None
@@ -129,7 +134,7 @@ def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
         ahead = F.expr(f"length + shiftleft(1L, top - {halving}) - shiftleft(1L, top)")
         looked = state.where(F.col("top") >= halving).withColumns({"at": F.col("pos") + ahead, "other": F.col("partner") + ahead})
         looked = join_on(looked, ranks, ["top", "at"], "left")
-        looked = _written(join_on(looked, ranks.toDF("top", "other", "also"), ["top", "other"], "left"))
+        looked = _written(join_on(looked, ranks.toDF("top", "other", "also"), ["top", "other"], "left"), rows)
         keys = ["top", "partner", "length", "rank"]
         apart = looked.where("rank IS NOT NULL AND NOT rank <=> also")
         firsts = apart.groupBy(*keys).agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1").select(*keys, "first")
@@ -139,7 +144,8 @@ def _longest(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
         state = _written(met.select(
             "pos", F.when(behind, F.col("first")).otherwise(F.col("partner")).alias("partner"), "top",
             (F.col("length") + F.when(longer, F.expr(f"shiftleft(1L, top - {halving})")).otherwise(0)).alias("length"),
-        ))
+        ), rows)
+        rows = state.count()
         done = done.unionByName(state.where(F.col("top") == halving))
     return done.select("pos", "partner", "length")
 
