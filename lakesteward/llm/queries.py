@@ -38,7 +38,7 @@ def tokens_of(docs: DataFrame) -> DataFrame:
 
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
-    tokens.write_tokens(docs, path, public_tokenizers.path(TOKENIZER), END_ID, independent=True)
+    tokens.write_tokens(docs, path, public_tokenizers.path(TOKENIZER), END_ID)
     found = tokens.lookup(spark, path, docs.select("doc_id").distinct(), "doc_id")
     read = tokens.read_documents(spark, path, found, "doc_id")
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

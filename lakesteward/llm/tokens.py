@@ -23,6 +23,7 @@ from __future__ import annotations
 import array
 import functools
 import io
+import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,15 +34,21 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import BLANKS, text_or_empty
+from .lookup import Table, stretch_hashes
+from .tables import text_or_empty
+from .words import word_spans
 
 MAGIC = 0x314B4F54
 SHARD_BYTES = 32 << 20
 INDEX_KEYS = 100_000
 LEVEL_BITS = 2
 MAX_LEVELS = 60
-CACHED_WORDS = 150_000
-CACHED_CHARS = 64
+# Places of remembered pieces, and ids of them at most; an entry's lower bits are its number of ids.
+TABLE_BITS = 20
+KEPT_IDS = 4 << 20
+SPOT_BITS = 28
+SLICE_BYTES = 1 << 20
+AFTER_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 READ_BYTES = 4 << 20
 # Letters that neither case folding nor composition changes in number, and how byte-level models write them.
@@ -59,44 +66,62 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
-class _Pieces(dict):
-    """Ids of known pieces; those of the present batch that are not kept stand beside them."""
+def drops_blanks(tokenizer) -> bool:
+    """Whether the tokenizer's file says that blanks part a text into pieces which are encoded by themselves.
 
-    def __init__(self):
-        super().__init__()
-        self.passing: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.passing[piece]
+    So it is if a split keeps only what its pattern matches, the pattern matches no blank, nothing before that
+    step looks across blanks, and no added token holds or takes one.
+    """
+    parts = json.loads(tokenizer.to_str())
+
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return part[inner] if part and part["type"] == "Sequence" else [part] if part else []
+
+    first = (steps(parts["pre_tokenizer"], "pretokenizers") or [{}])[0]
+    if first.get("type") != "Split" or first["behavior"] != "Removed" or not first["invert"]:
+        return False
+    for step in steps(parts["normalizer"], "normalizers"):
+        plain = step["type"] in ("NFC", "Lowercase")
+        blanks = step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " "
+        if not plain and not blanks:
+            return False
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in parts["added_tokens"]):
+        return False
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
+    for blank in " \t\n\v\f\r":
+        for a in "a1!'":
+            for b in "as1!'":
+                joined = [p for p, _ in split(f"{a}{blank}{b}")]
+                if joined != [p for p, _ in split(a)] + [p for p, _ in split(b)]:
+                    return False
+    return True
 
 
 class Encoder:
     """Ids of whole texts as little-endian bytes.
 
     ``independent`` says that the tokenizer drops white space and never joins what it
-    separates; then each piece between blanks is encoded once and the first CACHED_WORDS of them, the most
-    frequent ones among them, are remembered for all later texts.
+    separates (None: as its file says); then texts are parted at blanks, whole batches at once, and each piece is looked up by its hashes in a
+    table of places in one array that holds the ids of all remembered pieces. Pieces that are not there are encoded, each once
+    a batch. The array is emptied when it holds KEPT_IDS ids.
     """
 
-    def __init__(self, tokenizer_path: str, end_id: int, independent: bool):
+    def __init__(self, tokenizer_path: str, end_id: int, independent: bool | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.type).tobytes()
+        independent = drops_blanks(self.tokenizer) if independent is None else independent
         self.independent = independent
-        self.pieces = _Pieces()
         self.tokenize, self.signs = self.tokenizer.model.tokenize, {}
-        self.split = re.compile(f"[^{BLANKS}]+").findall
+        self.table, self.kept = Table(TABLE_BITS), np.zeros(1 << 16, self.type)
+        self._forget()
         # The short way is taken only if it gives what the whole tokenizer gives for all letters and signs.
         self.code = "H" if self.type.itemsize == 2 else "I"
         probes = [f"{c}{d}{s}" for c, d in zip(LETTERS, LETTERS[7:] + LETTERS) for s in ("", ".", "!?", "%", "$#&*", ",;:")]
         self.direct = independent and [self._by_model(p) for p in probes] == self._encode(probes)
 
-    def _words(self, text: str) -> list[str]:
-        """Pieces between blanks. Other white space of Unicode may part them too, but for four signs that are none to the tokenizer."""
-        return self.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
@@ -128,24 +153,87 @@ class Encoder:
         out.update(zip(rest, self._encode(rest)))
         return out
 
+    def _forget(self) -> None:
+        """Empties the table; the first place holds the end id."""
+        self.table.clear()
+        self.kept[0] = np.frombuffer(self.end, self.type)[0]
+        self.used = 1
+
+    def _keep(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes pieces and adds their ids to the array: first id and number of ids of each."""
+        known = self._encode_pieces(pieces)
+        ids = [known[p] for p in pieces]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // self.type.itemsize
+        firsts = self.used + np.cumsum(counts) - counts
+        total = int(counts.sum())
+        if self.used + total > len(self.kept):
+            grown = np.zeros(max(self.used + total, 2 * len(self.kept)), self.type)
+            grown[:self.used] = self.kept[:self.used]
+            self.kept = grown
+        self.kept[self.used:self.used + total] = np.frombuffer(b"".join(ids), self.type)
+        self.used += total
+        return firsts, counts
+
+    def _slice(self, whole: list[bytes]) -> list[np.ndarray]:
+        """Ids of some UTF-8 texts, without end ids."""
+        joined = b"".join(whole)
+        data = np.frombuffer(joined, np.uint8)
+        bounds = np.concatenate(([0], np.cumsum([len(t) for t in whole]))).astype(np.int64)
+        starts, ends = word_spans(data, bounds[:-1])
+        keys, checks = stretch_hashes(data, starts, ends)
+        if self.used > KEPT_IDS:
+            self._forget()
+        spots = self.table.get(keys, checks)
+        missed = np.flatnonzero(spots == 0)
+        if len(missed):
+            both = np.stack([keys[missed], checks[missed].astype(np.uint64)], axis=1)
+            _, new, back = np.unique(both, axis=0, return_index=True, return_inverse=True)
+            new = missed[new]
+            pieces = [joined[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            first, count = self._keep(pieces)
+            spot = first << SPOT_BITS | count
+            self.table.put(keys[new], checks[new], spot)
+            spots[missed] = spot[back.reshape(-1)]
+        counts = spots & ((1 << SPOT_BITS) - 1)
+        ends_at = np.cumsum(counts)
+        gather = np.repeat((spots >> SPOT_BITS) - (ends_at - counts), counts)
+        gather += np.arange(len(gather))
+        ids = self.kept[gather]
+        words = np.searchsorted(starts, bounds)
+        edges = np.concatenate(([0], ends_at))[words]
+        return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.independent:
             return [ids + self.end for ids in self._encode(texts)]
-        words = [self._words(text) for text in texts]
-        known = self.pieces
-        new = list(set().union(*words).difference(known))
-        found = self._encode_pieces(new)
-        room = max(0, CACHED_WORDS - len(known))
-        known.passing = found
-        if room:
-            keep = [w for w in new if len(w) <= CACHED_CHARS][:room]
-            known.update({w: found[w] for w in keep})
-        end = self.end
-        return [b"".join([*map(known.__getitem__, ws), end]) for ws in words]
+        out: list[list[bytes]] = [[] for _ in texts]
+        parts, owners, held = [], [], 0
+
+        def flush() -> None:
+            for i, ids in zip(owners, self._slice(parts) if parts else []):
+                out[i].append(ids.tobytes())
+
+        for i, text in enumerate(texts):
+            whole, at = text.encode(), 0
+            while at < len(whole):
+                stop = len(whole)
+                if stop - at > SLICE_BYTES:
+                    # Long texts are parted between pieces.
+                    blank = AFTER_BLANK.search(whole, at + SLICE_BYTES)
+                    stop = blank.end() if blank else stop
+                parts.append(whole[at:stop])
+                owners.append(i)
+                held += stop - at
+                at = stop
+                if held >= SLICE_BYTES:
+                    flush()
+                    parts, owners, held = [], [], 0
+        flush()
+        return [b"".join([*ids, self.end]) for ids in out]
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(tokenizer_path: str, end_id: int, independent: bool) -> Encoder:
+def _encoder(tokenizer_path: str, end_id: int, independent: bool | None) -> Encoder:
     """One encoder for all tasks of a worker process."""
     return Encoder(tokenizer_path, end_id, independent)
 
@@ -203,14 +291,19 @@ def _hash_columns(key: str):
     return F.xxhash64(F.col(key), F.lit(1)).alias("h1"), F.xxhash64(F.col(key), F.lit(2)).alias("h2")
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, independent: bool = False) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, independent: bool | None = None) -> None:
     """Writes the shards, the manifest and the index of all documents under ``path``."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_or_empty("text")))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     narrow = docs.select(text_or_empty("text").alias("text"), *_hash_columns("doc_id"), F.col("doc_id").alias("_id"))
-    ordered = narrow.repartitionByRange(shards, F.col("_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("_id").asc_nulls_first(), "text").select("text", "h1", "h2")
+    # Rows of one id, or of none, go on by their texts, and whole copies by their place in the input, so that none of
+    # them fills one task; the index has a run of an id in each shard.
+    order = [F.col("_id").asc_nulls_first(), F.col("_begin"), F.col("_mark")]
+    ranged = narrow.withColumns({
+        "_begin": F.substring("text", 1, 32), "_mark": F.xxhash64("text"), "_row": F.monotonically_increasing_id(),
+    }).repartitionByRange(shards, *order, F.col("_row"))
+    ordered = ranged.sortWithinPartitions(*order).select("text", "h1", "h2")
     written = ordered.mapInArrow(
         _shard_writer(f"{path}/shards", lambda: _encoder(tokenizer_path, end_id, independent)),
         "kind string, h1 long, h2 long, shard int, file string, first_doc long, docs long, first_id long, ids long",
@@ -258,9 +351,9 @@ class Index:
             self.widths, bits = parts["widths"], parts["bits"]
             self.prints, self.row = parts["prints"], parts["row"]
             self.runs = {k: parts[k] for k in ("shard", "first_doc", "docs", "first_id")}
-        self.bits = np.unpackbits(bits, count=int(self.widths.sum())).astype(bool)
-        # Ranks by block of 64 bits keep the rank of any bit one step away.
-        self.ranks = np.concatenate(([0], np.cumsum(self.bits, dtype=np.int64)))
+        # Words of 64 bits, most significant bit first, and the set bits before each word.
+        self.words = np.frombuffer(bits.tobytes() + bytes(-len(bits) % 8), ">u8").astype(np.uint64)
+        self.ranks = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)))
 
     def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         slots = np.full(len(h1), -1, np.int64)
@@ -269,8 +362,10 @@ class Index:
             if not len(open_):
                 break
             at = base + (_mixed(h1[open_], h2[open_], level) % np.uint64(width)).astype(np.int64)
-            hit = self.bits[at]
-            slots[open_[hit]] = self.ranks[at[hit]]
+            word, place = self.words[at >> 6], (at & 63).astype(np.uint64)
+            hit = (word >> (np.uint64(63) - place)) & np.uint64(1) == 1
+            before = np.bitwise_count((word >> np.uint64(1)) >> (np.uint64(63) - place))
+            slots[open_[hit]] = (self.ranks[at >> 6] + before)[hit]
             open_, base = open_[~hit], base + int(width)
         known = slots >= 0
         known[known] = self.prints[slots[known]] == h2[known]

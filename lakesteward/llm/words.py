@@ -115,6 +115,21 @@ def _trimmed(data: np.ndarray, in_word: np.ndarray, starts: np.ndarray) -> tuple
     return in_word & (np.cumsum(edges[:-1], dtype=np.int8) > 0), begins
 
 
+def word_spans(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of joined UTF-8 texts starts and ends; ``firsts`` are the bytes where texts begin."""
+    inside = np.zeros(len(data) + 1, bool)
+    inside[:-1] = _IS_WORD[data]
+    fresh = inside[:-1].copy()
+    fresh[1:] &= ~inside[:-2]
+    firsts = firsts[firsts < len(data)]
+    fresh[firsts] = inside[firsts]
+    starts = np.flatnonzero(fresh)
+    # A word ends where no word byte follows, or where the next text begins.
+    ends = inside[:-1] & ~inside[1:]
+    ends[firsts[firsts > 0] - 1] = inside[firsts[firsts > 0] - 1]
+    return starts, np.flatnonzero(ends) + 1
+
+
 def word_hashes(texts: pa.Array, folded: bool = False) -> Words:
     """Null texts have no words. ``folded`` words are alike if they differ in letter case and in punctuation around them only."""
     whole = pa.array(texts).cast(pa.large_string()).fill_null("")
