@@ -67,9 +67,9 @@ def warc_query(spark: SparkSession, sf: str) -> DataFrame:
     catalogue = warc.write_warc(table(spark, sf, "pages"), first)
     marked = catalogue.withColumn("hurt", F.pmod(F.xxhash64("page_id"), F.lit(DAMAGE_EVERY)) == 0)
     warc.copy_replica(marked, first, second, _flip, "hurt")
-    ours, theirs = (cut(warc.leaf_hashes(catalogue, path)) for path in (first, second))
+    ours, theirs = (cut(warc.leaf_hashes(catalogue, path, ranges=True)) for path in (first, second))
     found = warc.audit(warc.merkle_levels(ours), warc.merkle_levels(theirs))
-    rows = join_on(catalogue.withColumnRenamed("place", "node"), ours, ["file", "node"])
+    rows = join_on(catalogue.withColumnRenamed("place", "node"), ours.select("file", "node", "hash"), ["file", "node"])
     judged = join_on(rows, found, ["file", "node"], "left")
     return judged.select(
         "page_id", "length", F.lower(F.hex("hash")).alias("sha256"), F.coalesce("status", F.lit("intact")).alias("status")
@@ -139,7 +139,7 @@ def chat_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def secrets_query(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "cut")
 
 
 def whitening_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,7 +3,8 @@
 ``write_warc`` writes each partition of pages into files of its own, one gzip member for each record, and
 returns the catalogue: file, place in the file, offset and length of every record. ``leaf_hashes`` reads the catalogued
 byte ranges from a replica and hashes them. ``merkle_levels`` hashes the ordered offset ranges of a file into a tree,
-FAN children a node, and the files' roots into one root for the replica. ``audit`` compares the roots and goes
+FAN children a node, and ``replica_levels`` the files' roots into a tree by the digits of a hash of their names, up to one root for the replica.
+``audit`` compares the two replicas' roots first, which ends it if they agree, and goes
 down only below nodes that differ, so equal parts of two replicas are never compared record by record.
 
 Defined results: a null page is an empty payload, a null url an empty target; repeated rows are separate records; a
@@ -20,7 +21,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import join_on
@@ -134,8 +135,8 @@ def copy_replica(catalogue: DataFrame, source: str, target: str, damage: Callabl
     return rows.mapInArrow(copy, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def leaf_hashes(catalogue: DataFrame, path: str) -> DataFrame:
-    """``file, node, hash`` of every catalogued record as a replica has it; hash is null where the range is missing."""
+def leaf_hashes(catalogue: DataFrame, path: str, ranges: bool = False) -> DataFrame:
+    """``file, node, hash`` of every catalogued record as a replica has it, with ``first, length`` if asked; hash is null where the range is missing."""
     rows = _by_file(catalogue.select("file", "place", "first", "length"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,25 +159,37 @@ def leaf_hashes(catalogue: DataFrame, path: str) -> DataFrame:
                     data = file.read(row["length"])
                 hashes.append(hashlib.sha256(data).digest() if len(data) == row["length"] else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hashes, pa.binary())], names=["file", "node", "hash"]
+                [*[batch.column(k) for k in range(4)], pa.array(hashes, pa.binary())], names=["file", "node", "first", "length", "hash"]
             )
         if file:
             file.close()
 
-    return rows.mapInArrow(read, "file string, node long, hash binary")
+    leaves = rows.mapInArrow(read, "file string, node long, first long, length long, hash binary")
+    return leaves if ranges else leaves.select("file", "node", "hash")
+
+
+def _digest(order: str, *parts) -> Column:
+    """Hash over the rows of a group, ordered by one of the parts."""
+    part = F.concat_ws(":", *parts)
+    rows = F.array_sort(F.collect_list(F.struct(order, part.alias("part"))))
+    return F.unhex(F.sha2(F.array_join(F.transform(rows, lambda c: c["part"]), ","), 256))
 
 
 def _parents(level: DataFrame) -> DataFrame:
-    """The next level: each node hashes its children's numbers and hashes in order; FAN of them at most."""
-    part = F.concat(F.col("node").cast("string"), F.lit(":"), F.coalesce(F.hex("hash"), F.lit("missing")))
-    children = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", part.alias("part")))), lambda c: c["part"]), ",")
-    grouped = level.groupBy("file", F.floor(F.col("node") / FAN).alias("parent")).agg(F.unhex(F.sha2(children, 256)).alias("hash"))
-    return grouped.select("file", F.col("parent").cast("long").alias("node"), "hash")
+    """The next level: each node hashes its children's numbers, offset ranges and hashes in order; FAN of them at most."""
+    digest = _digest("node", F.col("node"), F.col("first"), F.col("length"), F.coalesce(F.hex("hash"), F.lit("missing")))
+    end = F.max(F.col("first") + F.col("length"))
+    grouped = level.groupBy("file", F.floor(F.col("node") / FAN).alias("parent")).agg(
+        F.min("first").alias("first"), (end - F.min("first")).alias("length"), digest.alias("hash")
+    )
+    return grouped.select("file", F.col("parent").cast("long").alias("node"), "first", "length", "hash")
 
 
 def merkle_levels(leaves: DataFrame) -> list[DataFrame]:
-    """All levels of the files' trees, leaves first; the last one has one node a file."""
+    """All levels of the files' trees, leaves first; the last one has one node a file. Leaves without offset ranges are placed by their numbers."""
     depth, most = 0, leaves.agg(F.max("node")).first()[0] or 0
+    if "first" not in leaves.columns:
+        leaves = leaves.select("file", "node", F.col("node").alias("first"), F.lit(1).cast("long").alias("length"), "hash")
     levels = [leaves]
     while most >= FAN ** depth or not depth:
         levels.append(_parents(levels[-1]))
@@ -184,18 +197,49 @@ def merkle_levels(leaves: DataFrame) -> list[DataFrame]:
     return levels
 
 
+def _file_key(digits: int) -> Column:
+    return F.substring(F.sha2("file", 256), 1, digits)
+
+
+def replica_levels(levels: list[DataFrame]) -> list[DataFrame]:
+    """``key, hash`` of the tree over the files' roots, from the deepest level to the replica's root, whose key is empty."""
+    roots = levels[-1].select("file", "hash")
+    files = roots.count()
+    digits = 0
+    while 16 ** (digits + 1) <= files:
+        digits += 1
+    tops = [roots.groupBy(_file_key(digits).alias("key")).agg(_digest("file", F.col("file"), F.hex("hash")).alias("hash"))]
+    for short in range(digits - 1, -1, -1):
+        parent = F.substring("key", 1, short).alias("parent")
+        grouped = tops[-1].groupBy(parent).agg(_digest("key", F.col("key"), F.hex("hash")).alias("hash"))
+        tops.append(grouped.withColumnRenamed("parent", "key"))
+    return tops
+
+
 def replica_root(levels: list[DataFrame]) -> DataFrame:
-    """One row with the hash over all files' roots, summed so that no task sees all files."""
-    roots = levels[-1].select(F.sha2(F.concat_ws(" ", "file", F.hex("hash")), 256).alias("mark"))
-    part = F.conv(F.substring("mark", 1, 15), 16, 10).cast("decimal(38,0)")
-    return roots.agg(F.count("*").alias("files"), F.sum(part).alias("root"))
+    """One row with the replica's root; none for a replica without files."""
+    return replica_levels(levels)[-1].select("hash")
 
 
 def audit(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
     """``file, node, status`` of every record that differs between two replicas with the same catalogue."""
+    ours_top, theirs_top = replica_levels(left), replica_levels(right)
+    if ours_top[-1].first() == theirs_top[-1].first():
+        return left[0].limit(0).select("file", "node", F.lit("").alias("status"))
+    keys = None
+    for ours, theirs in zip(reversed(ours_top), reversed(theirs_top)):
+        if keys is not None:
+            above = keys.withColumnRenamed("key", "parent")
+            ours = join_on(ours.withColumn("parent", F.expr("substring(key, 1, length(key) - 1)")), above, ["parent"], "left_semi").drop("parent")
+        both = join_on(ours, theirs.withColumnRenamed("hash", "other"), ["key"])
+        keys = both.where(~F.col("hash").eqNullSafe(F.col("other"))).select("key")
+    digits = len(ours_top) - 1
     suspects = None
     for ours, theirs in zip(reversed(left), reversed(right)):
-        if suspects is not None:
+        ours = ours.select("file", "node", "hash")
+        if suspects is None:
+            ours = join_on(ours.withColumn("key", _file_key(digits)), keys, ["key"], "left_semi").drop("key")
+        else:
             parents = suspects.select("file", F.col("node").alias("parent"))
             ours = join_on(ours.withColumn("parent", F.floor(F.col("node") / FAN)), parents, ["file", "parent"], "left_semi").drop("parent")
         both = join_on(ours, theirs.select("file", "node", F.col("hash").alias("other")), ["file", "node"])

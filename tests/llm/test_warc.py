@@ -65,3 +65,27 @@ def test_empty_table(spark):
     leaves = cut(warc.leaf_hashes(catalogue, path))
     levels = warc.merkle_levels(leaves)
     assert warc.audit(levels, levels).count() == 0
+
+
+def _leaves(spark, damage=()):
+    rows = [(f"f{i:03}", n, n * 10, 10, bytes([i % 256, n, (i, n) in damage])) for i in range(300) for n in range(40)]
+    return cut(spark.createDataFrame(rows, "file string, node long, first long, length long, hash binary"))
+
+
+def test_equal_roots_end_the_audit_at_once(spark):
+    left, right = (warc.merkle_levels(_leaves(spark)) for _ in range(2))
+    found = warc.audit(left, right)
+    assert found.count() == 0 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_descent_below_many_files(spark):
+    damage = {(3, 7), (3, 39), (250, 0)}
+    left, right = warc.merkle_levels(_leaves(spark)), warc.merkle_levels(_leaves(spark, damage))
+    assert len(warc.replica_levels(left)) == 3
+    assert {(int(r.file[1:]), r.node) for r in warc.audit(left, right).collect()} == damage
+
+
+def test_offset_ranges_are_part_of_the_tree(spark):
+    moved = _leaves(spark).withColumn("first", F.when((F.col("file") == "f005") & (F.col("node") == 3), F.col("first") + 1).otherwise(F.col("first")))
+    left, right = warc.merkle_levels(_leaves(spark)), warc.merkle_levels(cut(moved))
+    assert warc.replica_root(left).first() != warc.replica_root(right).first()
