@@ -10,11 +10,12 @@ alignment's, divided by the one of a whole, unchanged copy.
 Words are compared with letter case folded and without punctuation at their ends, in items and documents alike, so that
 shouted, lower-cased and re-punctuated copies share their seeds and align. A word of punctuation alone stays as it is.
 
-The benchmark is the stated query set: its items go out in blocks of bounded size, and each block meets
-all documents in place, without a shuffle of texts.
+The benchmark is the stated query set: its items go out in blocks of bounded size, one after another, and each block meets
+all documents in place, without a shuffle of texts. What a block finds is written before the next one goes out.
 
-Defined results: null and empty texts hold no passage and give no seeds; an item of fewer than SEED words is
-never found; equal items are found alike; repeated documents give repeated rows; empty tables give empty
+An item of fewer than SEED words has no seed. It is compared whole: it is found in the documents that have its words and no others.
+
+Defined results: null and empty texts hold no passage and give no seeds; an item without a word is never found; equal items are found alike; repeated documents give repeated rows; empty tables give empty
 results; other columns are ignored by ``find_leaks`` and returned untouched by ``drop_leaks``.
 """
 
@@ -28,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import text_or_empty
-from .words import slices, windows, word_hashes
+from ..sources.session import scratch_path
+from .tables import fingerprint, free_name, join_on, text_or_empty
+from .words import Words, slices, windows, word_hashes
 
 SEED = 4
 RARE_SHARE = 0.75
@@ -195,12 +197,33 @@ def _candidates(block: Block, words, hits: np.ndarray, seeds: np.ndarray) -> np.
     return np.concatenate(parts)
 
 
+def _whole(block: Block, words: Words) -> np.ndarray:
+    """Rows (text, item, 0, words, 1) of texts that are a short item, word for word."""
+    short: dict[bytes, list[int]] = {}
+    for item in np.flatnonzero((np.diff(block.first) > 0) & (np.diff(block.first) < SEED)).tolist():
+        short.setdefault(block.words[block.first[item]:block.first[item + 1]].tobytes(), []).append(item)
+    rows = []
+    if short:
+        sizes = np.diff(words.first)
+        for text in np.flatnonzero((sizes > 0) & (sizes < SEED)).tolist():
+            key = words.hashes[words.first[text]:words.first[text + 1]].tobytes()
+            rows += [(text, item, 0, int(sizes[text]), 1) for item in short.get(key, ())]
+    return np.array(rows, np.int64).reshape(-1, 5)
+
+
 def scan(block: Block, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Leaks in some texts: integer rows (text, item, first word, last word + 1, passages) and their scores.
 
     A text and an item have one row, for their best passage.
     """
     words = word_hashes(texts, folded=True)
+    whole = _whole(block, words)
+    rows, scores = _aligned(block, words)
+    return np.concatenate((rows, whole)), np.concatenate((scores, np.ones(len(whole))))
+
+
+def _aligned(block: Block, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of items with seeds."""
     grams, places = windows(words, SEED)
     hits, seeds = _matches(block, grams)
     if not len(hits):
@@ -239,10 +262,23 @@ def scan(block: Block, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.column_stack((rows[new], passages)), score[new]
 
 
-def seeded_blocks(docs: DataFrame, items: DataFrame) -> list:
-    """Broadcast blocks with their rare seeds."""
-    context = docs.sparkSession.sparkContext
-    return [context.broadcast(rare_seeds(b, count_seeds(docs, b))) for b in benchmark_blocks(items) if len(b.seeds)]
+def _found(docs: DataFrame, sent, schema: str) -> DataFrame:
+    """The leaks of one block."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = sent.value
+        ids = pa.array(block.ids)
+        for batch in batches:
+            for low, high in slices(batch.column(1)):
+                rows, score = scan(block, batch.column(1).slice(low, high - low))
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(low, high - low).take(pa.array(rows[:, 0])), ids.take(pa.array(rows[:, 1])),
+                         pa.array(score), *[pa.array(rows[:, k]) for k in (2, 3, 4)]],
+                        names=["doc_id", "item_id", "score", "first_word", "end_word", "passages"],
+                    )
+
+    return docs.select("doc_id", "text").mapInArrow(find, schema)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -253,40 +289,22 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {id_type}, "
         "score double, first_word long, end_word long, passages long"
     )
-    result = None
-    for sent in seeded_blocks(docs, items):
-
-        def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            block = sent.value
-            ids = pa.array(block.ids)
-            for batch in batches:
-                for low, high in slices(batch.column(1)):
-                    rows, score = scan(block, batch.column(1).slice(low, high - low))
-                    if len(rows):
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).slice(low, high - low).take(pa.array(rows[:, 0])), ids.take(pa.array(rows[:, 1])),
-                             pa.array(score), *[pa.array(rows[:, k]) for k in (2, 3, 4)]],
-                            names=["doc_id", "item_id", "score", "first_word", "end_word", "passages"],
-                        )
-
-        found = docs.select("doc_id", "text").mapInArrow(find, schema)
-        result = found if result is None else result.unionByName(found)
-    return spark.createDataFrame([], schema) if result is None else result
+    paths = []
+    for block in benchmark_blocks(items):
+        sent = spark.sparkContext.broadcast(rare_seeds(block, count_seeds(docs, block)))
+        paths.append(scratch_path(spark, "leaks"))
+        _found(docs, sent, schema).write.parquet(paths[-1])
+        sent.destroy()
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a passage of any item; columns unchanged. The texts are read in place."""
-    blocks = seeded_blocks(docs, items)
-    at = [c.lower() for c in docs.columns].index("text")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at)
-            clean = np.ones(len(texts), bool)
-            for low, high in slices(texts):
-                for sent in blocks:
-                    rows, _ = scan(sent.value, texts.slice(low, high - low))
-                    clean[low + rows[:, 0]] = False
-            yield batch.filter(pa.array(clean))
+    """The documents without a passage of any item; columns unchanged.
 
-    return docs.mapInArrow(keep, docs.schema) if blocks else docs
+    Documents with one text share their fate, so leaks are looked up by text.
+    """
+    leaks = find_leaks(docs.select(fingerprint("text").alias("doc_id"), "text"), items)
+    mark = free_name(docs, "_mark")
+    leaked = leaks.select(F.col("doc_id").alias(mark)).distinct()
+    kept = join_on(docs.withColumn(mark, fingerprint("text")), leaked, [mark], "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -123,3 +123,49 @@ def test_folded_hashes_of_bytes_that_are_no_text():
     offsets = pa.py_buffer(b"".join(n.to_bytes(8, "little") for n in ends))
     words = word_hashes(pa.LargeStringArray.from_buffers(3, offsets, pa.py_buffer(b"".join(texts))), folded=True)
     assert words.first.tolist() == [0, 4, 6, 7] and words.hashes[0] == words.hashes[5]
+
+
+def test_slices_read_the_same_words_as_single_texts(monkeypatch):
+    """Slices of narrow string arrays at any offset, several of them in a batch."""
+    from lakesteward.llm import words
+
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["Ff", "gg.", "Straße", "HH", "é", "Ω"]) for _ in range(rng.randrange(60))) for _ in range(300)] + [None, ""]
+    monkeypatch.setattr(words, "SLICE_BYTES", 500)
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        parts = list(words.slices(column))
+        assert len(parts) > 10
+        for low, high in parts:
+            found = word_hashes(column.slice(low, high - low), folded=True)
+            for i in range(low, high):
+                alone = word_hashes(pa.array([texts[i]], kind), folded=True)
+                assert (found.hashes[found.first[i - low]:found.first[i - low + 1]] == alone.hashes).all()
+                assert len(alone.hashes) == len(_plain_words(texts[i]))
+
+
+def test_every_copy_in_a_batch_of_many_slices_is_found(spark):
+    """Documents of some megabytes in one task; the yardstick normalises by itself."""
+    rng = random.Random(9)
+    pool = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(pool, k=30))) for i in range(12)]
+    docs = []
+    for d in range(1500):
+        body = rng.choices(pool, k=350)
+        if d % 10 == 0:
+            at = rng.randrange(300)
+            body[at:at] = [w.upper() + "," for w in items[d // 10 % 12][1].split()]
+        docs.append((d, " ".join(body)))
+    assert sum(len(t) for _, t in docs) > 2 << 20
+    found = {(r.doc_id, r.item_id) for r in _rows(spark, docs, items).collect()}
+    norm = {i: " ".join(_plain_words(t)) for i, t in items}
+    assert found == {(d, i) for d, t in docs for i, n in norm.items() if n in " ".join(_plain_words(t))} and len(found) == 150
+
+
+def test_short_items_are_compared_whole(spark):
+    items = [(1, "Yes, sir!"), (2, "yes"), (3, " "), (4, None), (5, "one two three four five six")]
+    docs = [(1, "yes sir"), (2, "YES"), (3, "yes sir and more"), (4, ""), (5, "one two three four five six"), (6, "sir yes")]
+    found = {(r.doc_id, r.item_id): (r.score, r.first_word, r.end_word) for r in _rows(spark, docs, items).collect()}
+    assert found == {(1, 1): (1.0, 0, 2), (2, 2): (1.0, 0, 1), (5, 5): (1.0, 0, 6)}
+    kept = dc.drop_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items[:2], "item_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
