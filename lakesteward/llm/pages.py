@@ -4,18 +4,19 @@ A page is read into leaf blocks: runs of text between block-level tags. Each blo
 hashed tag-path parts (tags, classes and ids of its ancestors), hashed words and a few measures. The network reads
 the page's blocks forwards and backwards, so each label depends on the whole page.
 
-It is trained here, in numpy, on TRAIN_PAGES pages of at most TRAIN_CHARS characters, the first by a hash of
-the id. Labels come from the innermost container with a telling name; the
+It is trained here, in numpy, on a sample of TRAIN_PAGES pages, the first by a hash of the id; of a page of more than
+TRAIN_CHARS characters the blocks of its beginning and its end train, about so many characters. Labels come from the innermost container with a telling name; the
 same texts are also laid out in other containers, in other orders, and with comments,
 forms, notices and sidebars around them, so that more kinds of pages are known than the sample has.
 
 Defined results: a null or empty page gives an empty text and 0 characters; a page cut off in the middle is read up
-to there; stray quotes in a tag end nothing and hide nothing; repeated pages get equal rows; an empty table gives an empty result; other columns are ignored.
+to there; a block's path is its MAX_PATH innermost elements and before them as many outer ones with a telling name; stray quotes in a tag end nothing and hide nothing; repeated pages get equal rows; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html as html_module
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -84,6 +85,7 @@ class _Reader:
 
     blocks: list[Block] = field(default_factory=list)
     stack: list[tuple[str, tuple[str, ...]]] = field(default_factory=list)
+    telling: list[int] = field(default_factory=list)
     open: dict[str, int] = field(default_factory=dict)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -93,9 +95,15 @@ class _Reader:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block([names for _, names in self.stack[-MAX_PATH:]], text, min(self.linked, len(text))))
+                self.blocks.append(Block(self.path(), text, min(self.linked, len(text))))
             self.parts, self.linked = [], 0
 
+    def path(self) -> list[tuple[str, ...]]:
+        """Names of the MAX_PATH innermost elements, and before them those of as many outer ones that tell their role."""
+        inner = max(0, len(self.stack) - MAX_PATH)
+        outer = [i for i in self.telling[-2 * MAX_PATH:] if i < inner][-MAX_PATH:] if inner else []
+        return [self.stack[i][1] for i in outer] + [names for _, names in self.stack[inner:]]
+
     def add(self, raw: str) -> None:
         if raw and not self.hidden:
             text = html_module.unescape(raw) if "&" in raw else raw
@@ -105,6 +113,8 @@ class _Reader:
 
     def pop(self) -> None:
         name, _ = self.stack.pop()
+        if self.telling and self.telling[-1] == len(self.stack):
+            self.telling.pop()
         self.open[name] -= 1
         self.hidden -= name in UNSHOWN
 
@@ -135,6 +145,8 @@ class _Reader:
         if attributes and "=" in attributes:
             values = [v.strip("\"'") for v in ATTRIBUTE.findall(attributes)]
             names += tuple(dict.fromkeys(w.lower() for v in values for w in NAME.findall(v)))
+        if not MAIN_NAMES.isdisjoint(names) or not OTHER_NAMES.isdisjoint(names):
+            self.telling.append(len(self.stack))
         self.stack.append((name, names))
         self.open[name] = self.open.get(name, 0) + 1
         self.hidden += name in UNSHOWN
@@ -451,10 +463,10 @@ def laid_out(rng: np.random.Generator, prose: list[str], short: list[str]) -> li
     return page
 
 
-def training_pages(pages: list[str], seed: int = 11) -> list[list[Block]]:
+def training_pages(pages: list[str] | list[list[Block]], seed: int = 11) -> list[list[Block]]:
     """The pages with labels by container, and LAYOUTS further layouts for each, of their own texts."""
     rng = np.random.default_rng(seed)
-    read = [read_blocks(p) for p in pages]
+    read = [read_blocks(p) if isinstance(p, str) else p for p in pages]
     for blocks in read:
         for block in blocks:
             block.label = container_label(block.path)
@@ -466,16 +478,37 @@ def training_pages(pages: list[str], seed: int = 11) -> list[list[Block]]:
     return read + [laid_out(rng, prose, short) for _ in range(LAYOUTS * len(read))]
 
 
+def sample_blocks(page: str) -> list[Block]:
+    """A page's blocks for training: all of them, or those of its beginning and its end, about TRAIN_CHARS characters with their paths."""
+    blocks = read_blocks(page)
+    sizes = np.cumsum([min(len(b.text), TRAIN_CHARS // 2) + 32 for b in blocks])
+    if len(page) <= TRAIN_CHARS or not blocks or sizes[-1] <= TRAIN_CHARS:
+        return blocks
+    head = max(1, int(np.searchsorted(sizes, TRAIN_CHARS // 2)))
+    tail = max(head, min(len(blocks) - 1, int(np.searchsorted(sizes, sizes[-1] - TRAIN_CHARS // 2)) + 1))
+    most = TRAIN_CHARS // 2
+    return [Block(b.path, b.text[:most], min(b.linked, most)) for b in blocks[:head] + blocks[tail:]]
+
+
 def trained(pages: DataFrame) -> dict[str, np.ndarray] | None:
-    """Weights from a bounded sample of the table; None for a table without usable pages."""
-    usable = pages.where(F.length("html") <= TRAIN_CHARS)
-    # The bound comes first, from hashes alone, so that only pages of the sample leave the tasks.
+    """Weights from a bounded sample of the table: TRAIN_PAGES pages of any length, TRAIN_CHARS characters of each; None if no page has text."""
+    usable = pages.where("html is not null")
+    # The bound comes first, from hashes alone, so that only blocks of the sample leave the tasks.
     order = F.xxhash64("page_id")
     first = [row[0] for row in usable.select(order.alias("h")).orderBy("h").limit(TRAIN_PAGES).collect()]
     if not first:
         return None
-    sample = usable.where(order <= first[-1]).orderBy(F.xxhash64("page_id"), F.length("html")).limit(TRAIN_PAGES).select("html")
-    labelled = training_pages([row[0] for row in sample.collect()])
+    sample = usable.where(order <= first[-1]).orderBy(F.xxhash64("page_id"), F.length("html"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                held = [[b.path, b.text, b.linked] for b in sample_blocks(page)]
+                yield pa.RecordBatch.from_pydict({"blocks": pa.array([json.dumps(held)])})
+
+    rows = sample.limit(TRAIN_PAGES).select("html").mapInArrow(read, "blocks string").collect()
+    held = [[Block([tuple(names) for names in path], text, linked) for path, text, linked in json.loads(row[0])] for row in rows]
+    labelled = training_pages(held)
     return train(labelled) if labelled else None
 
 

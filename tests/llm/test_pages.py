@@ -95,3 +95,31 @@ def test_many_odd_tags_take_time_in_proportion():
     for odd in ('<a b="><"', "<a b='", '<a ="', "<a '\">", '<a b = ', "<a\"'"):
         pg.read_blocks(odd * 60_000)
     assert time.time() - start < 20
+
+
+def _long_page(i):
+    noise = "<nav><ul>" + "<li><a href=x>menu entry</a></li>" * 40 + "</ul></nav>"
+    body = "".join(f"<p>Sentence {i} {j} of the story goes on for quite a while and says something of its own.</p>" for j in range(900))
+    return f"<html><body>{noise}<article>{body}</article><footer><p>All rights reserved by somebody</p></footer></body></html>"
+
+
+def test_a_table_of_long_pages_only_trains_too(spark):
+    pages = spark.createDataFrame([(i, "u", _long_page(i)) for i in range(6)], "page_id long, url string, html string")
+    assert min(len(r.html) for r in pages.collect()) > pg.TRAIN_CHARS
+    for r in pg.main_text(pages).collect():
+        lines = r.text.split("\n")
+        # Without a model every block would stay.
+        assert lines.count("menu entry") <= 4 and len(lines) > 850
+
+
+def test_sample_of_a_long_page_is_bounded():
+    blocks = pg.sample_blocks(_long_page(1) + "<p>" + "x" * 200_000)
+    assert blocks and sum(len(b.text) for b in blocks) <= 2 * pg.TRAIN_CHARS
+    assert [b.text for b in pg.sample_blocks("<p>a<p>b")] == ["a", "b"]
+
+
+def test_names_of_outer_containers_are_kept():
+    deep = "<article class=x>" + "<div>" * 60 + "<p>inside</p>" + "</div>" * 60 + "</article><nav>" + "<div>" * 60 + "<p>outside"
+    inside, outside = pg.read_blocks(deep)
+    assert len(inside.path) == pg.MAX_PATH + 1 and pg.container_label(inside.path) == 1
+    assert ("nav",) in outside.path and pg.container_label(outside.path) == 0
