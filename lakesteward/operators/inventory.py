@@ -27,6 +27,8 @@ BROADCAST_LOCATION_BYTES = 64 * 1024 * 1024
 BROADCAST_DEPTHS = 32
 # A folder that more patterns share is no anchor.
 ANCHOR_PATTERNS = 64
+# Characters of the pieces by which patterns without a whole folder are looked up.
+GRAM = 5
 
 # Unicode case folding and "\n" as the only line end.
 _PATTERN_FLAGS = "(?iud)"
@@ -145,14 +147,14 @@ def inventory_full(listing: DataFrame, locations: DataFrame | None = None) -> Da
     return settle(owned, OWNER_COLUMNS).select(*FULL_COLUMNS)
 
 
-def match_locations(listing: DataFrame, locations: DataFrame) -> DataFrame:
+def match_locations(listing: DataFrame, locations: DataFrame, plan_patterns: int = PLAN_PATTERNS) -> DataFrame:
     """Owning table of every row by pattern search, with the convention as fallback."""
-    return settle(_owned(attach_pattern_owner(listing, locations)).select("name", *_owner_columns()), OWNER_COLUMNS)
+    return settle(_owned(attach_pattern_owner(listing, locations, plan_patterns)).select("name", *_owner_columns()), OWNER_COLUMNS)
 
 
-def match_location_prefixes(listing: DataFrame, locations: DataFrame) -> DataFrame:
+def match_location_prefixes(listing: DataFrame, locations: DataFrame, broadcast_locations: int = BROADCAST_LOCATIONS) -> DataFrame:
     """Same, with the locations read as plain folders and matched on whole path segments."""
-    return _owned(attach_prefix_owner(listing, locations)).select("name", *_owner_columns())
+    return _owned(attach_prefix_owner(listing, locations, broadcast_locations)).select("name", *_owner_columns())
 
 
 def _owned(matched: DataFrame) -> DataFrame:
@@ -266,8 +268,9 @@ def _pattern_owner_joined(listing: DataFrame, usable: DataFrame, plan_patterns:
 
     A pattern of plain text and dots can only be found in a path that has each of its inner folders (those
     between two slashes). The folder that the fewest patterns share is its anchor; distinct paths meet patterns by
-    anchor in an equi-join and the pattern is tried on these pairs. Patterns without an anchor that at most
-    ANCHOR_PATTERNS share are the exception; they are tried on all distinct paths, plan_patterns at a time.
+    anchor in an equi-join and the pattern is tried on these pairs. Patterns of plain text without an anchor that at most
+    ANCHOR_PATTERNS share are looked up by their rarest piece of GRAM characters (see ``gram_pairs``). What is left, patterns with other signs
+    or with shorter texts only, is tried on all distinct paths, plan_patterns at a time.
     """
     plain = usable.where(F.col("pattern").rlike(_PLAIN_TEXT.pattern))
     pieces = F.split(F.lower("pattern"), "/")
@@ -282,7 +285,11 @@ def _pattern_owner_joined(listing: DataFrame, usable: DataFrame, plan_patterns:
     names = cut(names)
     held = names.select("_name", F.explode(F.array_distinct(F.split("_folded", "/"))).alias("_folder"))
     regex = F.concat(F.lit(_PATTERN_FLAGS), F.col("pattern"))
-    met = held.join(anchored, "_folder").where(F.regexp_like(_searched("_name"), regex))
+    loose = cut(plain.join(anchored.select("pattern"), "pattern", "left_anti").where(F.size(_text_grams()) > 0))
+    pairs = held.join(anchored, "_folder").select("_name", "pattern", "table_name")
+    pairs = pairs.unionByName(gram_pairs(names, loose).select("_name", "pattern", "table_name"))
+    met = pairs.where(F.regexp_like(_searched("_name"), regex))
+    anchored = anchored.select("pattern").unionByName(loose.select("pattern"))
     best = met.select("_name", F.struct((-F.length("pattern")).alias("rank"), "pattern", "table_name").alias("_best"))
 
     block: list = []
@@ -301,6 +308,33 @@ def _pattern_owner_joined(listing: DataFrame, usable: DataFrame, plan_patterns:
     return _attach_by_name(listing, owners)
 
 
+def _grams(text: Column) -> Column:
+    """All pieces of GRAM characters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - (GRAM - 1))
+    return F.when(F.length(text) >= GRAM, F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM)))).otherwise(F.array().cast("array<string>"))
+
+
+def _text_grams() -> Column:
+    """The pieces of a plain pattern's texts, which any path it is found in must hold."""
+    return F.array_distinct(F.flatten(F.transform(F.split(F.lower("pattern"), "\\."), _grams)))
+
+
+def gram_pairs(names: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Paths (``_name``, ``_folded``) with the plain patterns (``pattern``, ``table_name``) that may be found in them.
+
+    A pattern meets the paths that hold the one of its pieces that the fewest paths hold, counted over all paths; a pattern
+    with a piece that no path holds meets none.
+    """
+    pieces = cut(patterns.select("pattern", "table_name", F.explode(_text_grams()).alias("_gram")))
+    held = names.select("_name", F.explode(F.array_distinct(_grams(F.col("_folded")))).alias("_gram"))
+    wanted = pieces.select("_gram").distinct()
+    often = held.join(wanted, "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_paths"))
+    counted = pieces.join(often, "_gram", "left")
+    rarest = counted.groupBy("pattern", "table_name").agg(F.min(F.struct(F.coalesce("_paths", F.lit(0)).alias("_paths"), "_gram")).alias("_rarest"))
+    anchors = cut(rarest.where("_rarest._paths > 0").select("pattern", "table_name", F.col("_rarest._gram").alias("_gram")))
+    return held.join(anchors, "_gram")
+
+
 def _attach_by_name(listing: DataFrame, owners: DataFrame) -> DataFrame:
     """Left join of one owner per path.
 

@@ -164,6 +164,20 @@ SELECT CAST(c_custkey AS STRING) AS c_custkey,
 FROM customer
 """
 
+# As many locations as parts and suppliers: pieces of folder names, and whole folders.
+LOCATIONS_LARGE = """
+SELECT concat('zone', CAST(p_partkey % 5 AS STRING), '/Tbl_', CAST(CAST(floor(p_partkey / 7) AS BIGINT) AS STRING)) AS pattern,
+       concat('Part.P', CAST(p_partkey AS STRING)) AS table_name
+FROM part
+UNION ALL
+SELECT concat('/ext/zone', CAST(s_suppkey % 5 AS STRING), '/tbl_', CAST(CAST(floor(s_suppkey / 3) AS BIGINT) AS STRING), '/raw'),
+       concat('Supp.S', CAST(s_suppkey AS STRING))
+FROM supplier
+UNION ALL
+SELECT concat('sales', CAST(p_partkey % 9 AS STRING), '.DB/tbl_', CAST(p_partkey AS STRING), '/dt='), concat('Sale.T', CAST(p_partkey AS STRING))
+FROM part WHERE p_partkey % 3 = 0
+"""
+
 # Grants of which some cannot be read: names without a database, policies without one.
 GRANTS_MIXED = """
 SELECT c_custkey AS grant_id, 'default_catalog' AS catalog, concat('role', CAST(c_custkey % 6 AS STRING)) AS user_identity,
@@ -242,7 +256,7 @@ FROM ({LISTING}) c WHERE c.size_byte = 9216
 STATEMENTS = {
     "listing": LISTING, "locations": LOCATIONS, "querylog": QUERYLOG, "grants": GRANTS,
     "policies": POLICIES, "catalogue": CATALOGUE, "names": NAMES, "definitions": DEFINITIONS,
-    "users": USERS, "lookups": LOOKUPS, "raw_load": RAW_LOAD, "usage_events": USAGE_EVENTS, "grants_mixed": GRANTS_MIXED,
+    "users": USERS, "lookups": LOOKUPS, "raw_load": RAW_LOAD, "usage_events": USAGE_EVENTS, "grants_mixed": GRANTS_MIXED, "locations_large": LOCATIONS_LARGE,
     "grant_versions": GRANT_VERSIONS, "schedules": SCHEDULES, "role_grants": ROLE_GRANTS, "listing_after": LISTING_AFTER,
 }
 

@@ -651,8 +651,22 @@ _ROLLUP_LEVELS = " UNION ALL ".join(
 )
 _LISTED = 'name, atime, mtime, ctime, size_byte, type, acl, "user", "group", file_type, dt'
 
+# A dot of a plain pattern stands for one sign, as "_" does in LIKE.
+_LARGE = [_fixture("locations_large"), "locations AS (SELECT pattern, min(table_name) AS table_name FROM locations_large GROUP BY pattern)"]
+_BY_TEXT = _located(
+    "contains(lower(path), lower(split_part(l.pattern, '.', 1))) AND (NOT contains(l.pattern, '.') OR "
+    "lower(path) LIKE '%' || replace(replace(lower(l.pattern), '_', '!_'), '.', '_') || '%' ESCAPE '!')", "length(pattern) DESC"
+)
+
+
+def _large(located: str) -> str:
+    return _with(*_LARGE, _fixture("listing"), _SPLIT, _GOOD, located) + f"SELECT name, {_OWNER} FROM owned"
+
+
 # Usage, grants and listings over time.
 OVER_TIME = {
+    "inv_location_match_large": _large(_BY_TEXT),
+    "inv_location_prefix_large": _large(_BY_PREFIX),
     "inv_rollup": _inventory(
         "SELECT CAST(path_level AS INT) AS path_level, path, count(*) AS objects, CAST(sum(size) AS BIGINT) AS total_size, "
         f"count(DISTINCT owner) AS owners FROM ({_ROLLUP_LEVELS}) GROUP BY ALL",

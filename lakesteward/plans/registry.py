@@ -67,6 +67,11 @@ def _inventory(job: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: job(fixture(spark, sf, "listing"), fixture(spark, sf, "locations"))
 
 
+def _large(job: Callable[..., DataFrame], **options) -> Query:
+    """The route for catalogues of any size, over one that grows with the parts and suppliers."""
+    return lambda spark, sf: job(fixture(spark, sf, "listing"), fixture(spark, sf, "locations_large"), **options)
+
+
 def storage_per_table(spark: SparkSession, sf: str) -> DataFrame:
     return inventory.storage_per_table(_inventory(inventory.inventory_full)(spark, sf))
 
@@ -380,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "inv_rejects": _on("listing", inventory.inventory_rejects),
     "inv_location_match": _inventory(inventory.match_locations),
     "inv_location_prefix": _inventory(inventory.match_location_prefixes),
+    "inv_location_match_large": _large(inventory.match_locations, plan_patterns=16),
+    "inv_location_prefix_large": _large(inventory.match_location_prefixes, broadcast_locations=16),
     "inv_slim": _on("listing", inventory.inventory_slim),
     "inv_full": _inventory(inventory.inventory_full),
     "inv_rollup": _on("listing", summaries.path_rollup),

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from lakesteward.operators import inventory
 from lakesteward.sources.schemas import LISTING
@@ -133,3 +136,29 @@ def test_small_catalogue_does_not_shuffle_the_listing(spark, sf_dir):
     for job in (inventory.inventory_full, inventory.match_locations):
         plan = job(rows, places)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 0
+
+
+def test_pieces_of_patterns_try_few_pairs(spark):
+    """Patterns without a whole folder meet only paths with their rarest piece."""
+    names = spark.range(3000).selectExpr("concat('/lake/area', id % 30, '/tab_', id) AS _name").withColumn("_folded", F.col("_name"))
+    patterns = spark.createDataFrame(
+        [(f"Tab_{i}", f"d.t{i}") for i in range(1000, 1500)] + [("area7/tab.7", "d.a"), ("nowhere_at_all", "d.n"), ("lake/", "d.l")], "pattern string, table_name string"
+    )
+    pairs = inventory.gram_pairs(names, patterns)
+    tried = {r.pattern: r.n for r in pairs.groupBy("pattern").agg(F.count("*").alias("n")).collect()}
+    assert "nowhere_at_all" not in tried and tried["lake/"] == 3000 and tried["area7/tab.7"] <= 100
+    # One path in all holds "_1000" to "_1499", and some more hold its shorter pieces.
+    assert sum(n for p, n in tried.items() if p.startswith("Tab_")) < 20 * 500
+
+
+def test_pieces_give_what_trying_all_gives(spark):
+    rng = random.Random(2)
+    parts = ["alpha", "beta.db", "Gamma_1", "delta", "ab", "ıİk", "x-y"]
+    rows = [("/" + "/".join(rng.choices(parts, k=rng.randrange(1, 6))) + str(rng.randrange(40)), "DIR", 1, "") for _ in range(300)]
+    texts = ["pha/be", "a.db/g", "MMA_1", "b", "x.y/del", "ta1", "lpha.beta", "delta2", "a/ab", "nothing", "(alpha|x)/", "amma.1.d"]
+    locations = spark.createDataFrame([(t, f"d.t{i}") for i, t in enumerate(texts)], "pattern string, table_name string")
+    rows = listing(spark, rows)
+    found = [
+        sorted((r.name, r.table_name, r.is_table) for r in inventory.match_locations(rows, locations, plan_patterns=n).collect()) for n in (512, 0, 3)
+    ]
+    assert found[0] == found[1] == found[2] and sum(r[2] for r in found[0]) > 50
