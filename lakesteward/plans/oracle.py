@@ -665,6 +665,7 @@ def _large(located: str) -> str:
 
 # Usage, grants and listings over time.
 OVER_TIME = {
+    "load_once": "SELECT c_name, c_mktsegment, c_custkey, c_nationkey, true AS bounded FROM customer",
     "inv_location_match_large": _large(_BY_TEXT),
     "inv_location_prefix_large": _large(_BY_PREFIX),
     "inv_rollup": _inventory(

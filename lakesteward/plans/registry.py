@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import enums, lists
 from ..functions.maps import map_invert
 from ..operators import catalog, chunks, closure, grants, inventory, joins, maptables, policies, summaries, usage
-from ..sources import exports, load, readers, sinks
+from ..sources import exports, ledger, load, readers, sinks
 from ..sources.session import scratch_path
 from ..streaming import jobs
 from ..streaming import usage as usage_stream
@@ -40,6 +40,7 @@ TOP_TABLES = 3
 SESSION_GAP, SESSION_DELAY = "30 minutes", "1 hour"
 CHUNK_ROWS = 500
 PAYLOAD_ROWS = 200
+PAYLOAD_BYTES = 5000
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 SIGN_PARTS = ("au", "en", "th")
 
@@ -180,6 +181,20 @@ def _load_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return load.load_payloads(rows, "sales", "customer", columns, ["c_custkey"], PAYLOAD_ROWS, "b1")
 
 
+def _load_once(spark: SparkSession, sf: str) -> DataFrame:
+    """One load twice over, and a second batch; the rows as the ledger has them."""
+    columns = ["c_name", "c_mktsegment", "c_custkey", "c_nationkey"]
+    rows = table(spark, sf, "customer")
+    path = scratch_path(spark, "loads")
+    for batch, part in (("b1", F.col("c_custkey") % 3 > 0), ("b1", F.col("c_custkey") % 3 > 0), ("b2", F.col("c_custkey") % 3 == 0)):
+        ledger.load_once(load.load_payloads(rows.where(part), "sales", "customer", columns, ["c_custkey"], PAYLOAD_ROWS, batch, PAYLOAD_BYTES), path)
+    schema = "array<struct<c_name: string, c_mktsegment: string, c_custkey: bigint, c_nationkey: int>>"
+    bodies = ledger.loaded_bodies(spark, path)
+    return bodies.select(F.octet_length("body").alias("bytes"), F.explode(F.from_json("body", schema)).alias("row")).select(
+        "row.*", (F.col("bytes") <= PAYLOAD_BYTES).alias("bounded")
+    )
+
+
 def _strict_load(spark: SparkSession, sf: str) -> DataFrame:
     schema = "c_custkey bigint, c_acctbal int, c_mktsegment string"
     loaded = load.strict_load(fixture(spark, sf, "raw_load"), schema, where="c_mktsegment <> 'FURNITURE'")
@@ -375,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "user_lookup": _user_lookup,
     "scan_inventory": _scan_inventory,
     "load_payloads": _load_payloads,
+    "load_once": _load_once,
     "strict_load": _strict_load,
     "report_sink": _report_sink,
     "text_sink": _text_sink,

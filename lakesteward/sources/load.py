@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,13 @@ def load_payloads(
     keys: Sequence[str],
     size: int,
     batch_id: str,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """JSON array bodies of at most ``size`` rows, fields in target-table order.
 
+    With ``max_bytes`` a body holds at most so many bytes as well; a longer row has a body of its own. Then a chunk of ``size`` rows is cut
+    by its running length, and the label says which cut it is.
+
     The label depends on the batch and the chunk only, so sending a chunk again
     reuses it and loads nothing twice. A body holds at most ``size`` rows, so no
     group grows with the data. ``columns`` may be the name of the target in the catalog, whose columns are then
@@ -39,13 +43,23 @@ def load_payloads(
     chunked = chunk_rows(df, size, *keys).select(
         "chunk_id", "position", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("_json")
     )
-    bodies = chunked.groupBy("chunk_id").agg(
+    cuts = []
+    if max_bytes:
+        # Rows that start in one half of the limit, and are no longer than it, fit into the whole; a comma or bracket goes with each.
+        half = max(1, (max_bytes - 1) // 2)
+        length = F.octet_length("_json") + 1
+        before = F.coalesce(F.sum(length).over(Window.partitionBy("chunk_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        alone = F.when(length > half, F.col("position"))
+        chunked = chunked.withColumns({"_half": F.floor(before / half), "_alone": alone})
+        cuts = ["_half", "_alone"]
+    bodies = chunked.groupBy("chunk_id", *cuts).agg(
         F.array_sort(F.collect_list(F.struct("position", "_json"))).alias("_rows")
     )
     joined = F.array_join(F.transform("_rows", lambda r: r["_json"]), ",")
     paths = "[" + ",".join(f'"$.{c}"' for c in columns) + "]"
+    number = F.concat_ws("_", *[F.col(c).cast("string") for c in ("chunk_id", *cuts)])
     return bodies.select(
-        F.concat(F.lit(f"{db}_{table}_{batch_id}_"), F.col("chunk_id").cast("string")).alias("label"),
+        F.concat(F.lit(f"{db}_{table}_{batch_id}_"), number).alias("label"),
         F.lit(paths).alias("jsonpaths"),
         F.size("_rows").alias("row_count"),
         F.concat(F.lit("["), joined, F.lit("]")).alias("body"),
