@@ -173,24 +173,33 @@ def mix_sources(
     pieces = joined.withColumn("words", F.when(F.col("limit").isNotNull(), words).otherwise(0).cast("long"))
     documents = pieces.groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(
         F.sum("words").alias("taken"), F.min(F.when(F.col("words") > 0, F.col("position"))).alias("first_slot"),
+        *[
+            F.min(F.when((F.col("words") > 0) & (F.col("round") == n), F.col("position"))).alias(f"slot{n}") for n in range(MAX_REPEATS)
+        ],
     ).drop("row")
     return Mix(slots, pieces.where("words > 0").drop("row"), documents)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """Whole documents, each as often as the mix takes the larger part of it (0, 1 or 2 times), columns unchanged.
+    """Whole documents, each as often as the mix takes the larger part of it (0, 1 or 2 times), columns unchanged, in order of their slots.
 
+    A copy stands where the slot of its round begins it, so every stretch of the result has the sources in about their shares.
     Rows that agree in id, source and size are taken alike.
     """
+    slots = [F.min(f"slot{n}").alias(f"_slot{n}") for n in range(MAX_REPEATS)]
     copies = mix_sources(docs, **options).documents.groupBy("doc_id", "source", "size").agg(
-        F.max(F.expr("if(size > 0, floor(taken / size + 0.5), 0)")).cast("int").alias("copies")
+        F.max(F.expr("if(size > 0, floor(taken / size + 0.5), 0)")).cast("int").alias("copies"), *slots
     )
-    copies = copies.where("copies > 0").toDF("_id", "_source", "_size", "_copies")
+    copies = copies.where("copies > 0").toDF("_id", "_source", "_size", "_copies", *[f"_slot{n}" for n in range(MAX_REPEATS)])
     whole = free_name(docs, "_row")
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.col("doc_id").alias("_d"),
         F.col("source").alias("_s"), word_count("text").alias("_n"),
     )
     met = held["_d"].eqNullSafe(copies["_id"]) & held["_s"].eqNullSafe(copies["_source"]) & (held["_n"] == copies["_size"])
-    taken = held.join(copies, met).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return taken.select(*[F.col(whole)[c].alias(c) for c in docs.columns])
+    places = F.slice(F.array_compact(F.array(*[F.col(f"_slot{n}") for n in range(MAX_REPEATS)])), F.lit(1), F.col("_copies"))
+    # A document that is nearly whole in one round counts as often as its words say.
+    filled = F.concat(places, F.array_repeat(F.element_at(places, -1), F.col("_copies") - F.size(places)))
+    taken = held.join(copies, met).withColumn("_place", F.explode(filled))
+    ordered = taken.sort("_place", F.col("_d").asc_nulls_first())
+    return ordered.select(*[F.col(whole)[c].alias(c) for c in docs.columns])

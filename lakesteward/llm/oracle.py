@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .quality import PUNCTUATION, STOP_WORDS
-from .mixing import BLOCK_WORDS, MIN_BLOCKS
+from .mixing import BLOCK_WORDS, GOLDEN, MIN_BLOCKS
 
 BLANK = r"\x20\x09-\x0D"
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -73,13 +73,36 @@ WITH sized AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM sized
 ), quotas AS (
-  SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM targets
+  SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota,
+         CAST(greatest(1, least({BLOCK_WORDS}, ceil(source_size / {MIN_BLOCKS}))) AS BIGINT) AS block_words FROM targets
+), shares AS (
+  SELECT source, block_words, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+           quota // source_size * CAST(ceil(source_size / block_words) AS BIGINT) + ceil((quota % source_size) / block_words) END AS BIGINT) AS slots
+  FROM quotas
+), spans AS (
+  SELECT source, slots, total, below / total AS low, (below + slots) / total AS high
+  FROM (SELECT source, slots, CAST(sum(slots) OVER () AS BIGINT) AS total, CAST(sum(slots) OVER (ORDER BY source NULLS LAST) - slots AS BIGINT) AS below
+        FROM shares WHERE slots > 0)
+), points AS (
+  SELECT i, (i + 1) * CAST({GOLDEN} AS DOUBLE) - floor((i + 1) * CAST({GOLDEN} AS DOUBLE)) AS point
+  FROM (SELECT unnest(range((SELECT max(total) FROM spans))) AS i)
+), timed AS (
+  SELECT source, slots, total, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS k, i AS position
+  FROM points JOIN spans ON low <= point AND point < high
+), slots AS (
+  SELECT source, k, position FROM timed WHERE k < slots
+  UNION ALL
+  SELECT source, k, k + total FROM (SELECT s.source, s.total, unnest(range(coalesce(t.got, 0), s.slots)) AS k
+    FROM spans s LEFT JOIN (SELECT source, least(max(slots), count(*)) AS got FROM timed GROUP BY source) t ON s.source IS NOT DISTINCT FROM t.source)
 )
 -- Blocks of {BLOCK_WORDS} words (at least {MIN_BLOCKS} a source) are taken in order, round after round, so a
--- document's words are taken once in each whole round and up to the end of the last one.
-SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+-- document's words are taken once in each whole round and up to the end of the last one. Slots of a source follow each
+-- other, so the first one to take a word of a document is the first round's slot of the block it starts in.
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN s.position END AS first_slot
+FROM (SELECT p.*, q.source_size, q.target, q.block_words, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
          quota // source_size * size + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken
-FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source
+      FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source) d
+LEFT JOIN slots s ON d.source IS NOT DISTINCT FROM s.source AND s.k = d.start // d.block_words
 """
 
 CHAT = r"""

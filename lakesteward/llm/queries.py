@@ -25,7 +25,7 @@ def quality_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf, "documents"))
-    return mix.documents.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.documents.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def decontaminate_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,7 +124,10 @@ def conversation_records(conversations: DataFrame) -> DataFrame:
 def chat_query(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations through records of several layouts, formatted, and read back from the formatted texts."""
     records = conversation_records(with_control_conversation(table(spark, sf, "conversations")))
-    formatted = chat.format_turns(chat.canonical_turns(records)).select("conv_id", "formatted", "mask")
+    turns = chat.canonical_turns(records)
+    unread = F.raise_error(F.concat(F.lit("no turns read from conversation "), F.col("conv_id").cast("string")))
+    turns = turns.withColumn("turns", F.coalesce("turns", unread))
+    formatted = chat.format_turns(turns).select("conv_id", "formatted", "mask")
     path = scratch_path(spark, "chat")
     formatted.write.parquet(path)
     read = chat.read_turns(spark.read.schema(formatted.schema).parquet(path))

@@ -81,3 +81,12 @@ def test_mixed_documents_keep_their_columns(spark):
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
     assert max(r["count"] for r in out.groupBy("doc_id").count().collect()) <= 2
+
+
+def test_output_has_its_sources_in_their_shares_all_along(spark):
+    docs = spark.createDataFrame([(i, "w " * 40, "abc"[i % 3] if i % 5 else "c", None) for i in range(900)], SCHEMA)
+    rows = [r.source for r in mixing.mixed_documents(docs, block_words=200).collect()]
+    whole = {s: rows.count(s) / len(rows) for s in "abc"}
+    assert len(rows) > 900 and min(whole.values()) > 0.05
+    for stop in range(100, len(rows), 100):
+        assert all(abs(rows[:stop].count(s) / stop - whole[s]) < 0.12 for s in "abc")
