@@ -107,6 +107,13 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
     return marked.withColumns({"layout": layout, "turns": turns}).drop("_record")
 
 
+def unread_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """Records that give no turns, with ``reason``: text that is no JSON or too long for a parsed value, or a layout that no mapping covers."""
+    read = canonical_turns(records.withColumn("_given", F.col(f"`{record}`")), record, layouts)
+    reason = F.when(F.try_parse_json("_given").isNull(), "unreadable").otherwise("unknown layout")
+    return read.where("_given is not null and turns is null").withColumn("reason", reason).select(*[f"`{c}`" for c in records.columns], "reason")
+
+
 # --- template ----------------------------------------------------------------
 
 def escape(text: Column) -> Column:

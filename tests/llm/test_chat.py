@@ -53,3 +53,9 @@ def test_odd_conversations(spark):
     assert found == {1: [("user", ""), ("", "x")], 2: [("assistant", "[INST]role")] * 2, 3: [("human", "h"), ("assistant", "a")], None: [("user", "n")],
                      5: [("user", "u"), ("assistant", "v")], 7: [("user", "b"), ("user", "c")]}
     assert conversation_records(talks.limit(0)).count() == 0
+
+
+def test_unread_records_are_reported(spark):
+    rows = [(1, '{"prompt":"a","response":"b"}'), (2, "no json"), (3, '{"other":1}'), (4, None)]
+    records = spark.createDataFrame(rows, "conv_id long, record string")
+    assert {(r.conv_id, r.reason) for r in chat.unread_records(records).collect()} == {(2, "unreadable"), (3, "unknown layout")}
