@@ -85,7 +85,7 @@ def scan_policies(bodies: DataFrame, service_types: Sequence[str] = ()) -> DataF
 
 
 def policies_by_id(policies: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
-    """Policies with the given ids: a list, or a table with an ``id`` column."""
+    """Policies with the given ids: a list, or a table with an ``id`` column. ``missing_policies`` tells which ids have none."""
     if isinstance(ids, DataFrame):
         return policies.join(ids.select("id").distinct(), "id", "left_semi")
     if not ids:
@@ -93,6 +93,12 @@ def policies_by_id(policies: DataFrame, ids: Sequence[int] | DataFrame) -> DataF
     return policies.where(F.col("id").isin(list(ids)))
 
 
+def missing_policies(policies: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ids of a table with an ``id`` column that no policy has, each once. Null ids are left out."""
+    asked = ids.select("id").where("id is not null").distinct()
+    return asked.join(policies.select("id"), "id", "left_anti")
+
+
 # --- objects -----------------------------------------------------------------
 
 def object_type() -> Column:

@@ -665,6 +665,11 @@ def _large(located: str) -> str:
 
 # Usage, grants and listings over time.
 OVER_TIME = {
+    "policies_missing": "SELECT DISTINCT CAST(l_partkey AS INT) AS id FROM lineitem WHERE l_partkey NOT IN (SELECT c_custkey FROM customer)",
+    "load_rows": _with(_fixture("raw_load")) + (
+        "SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN 'reject' ELSE 'good' END AS outcome "
+        "FROM raw_load WHERE c_mktsegment <> 'FURNITURE'"
+    ),
     "load_once": "SELECT c_name, c_mktsegment, c_custkey, c_nationkey, true AS bounded FROM customer",
     "inv_location_match_large": _large(_BY_TEXT),
     "inv_location_prefix_large": _large(_BY_PREFIX),

@@ -160,6 +160,11 @@ def _service_types(spark: SparkSession, sf: str) -> DataFrame:
     return policies.service_types(exports.read_definitions(spark, path, range_bytes=EXPORT_RANGE))
 
 
+def _policies_missing(spark: SparkSession, sf: str) -> DataFrame:
+    ids = table(spark, sf, "lineitem").select(F.col("l_partkey").cast("int").alias("id"))
+    return policies.missing_policies(fixture(spark, sf, "policies"), ids)
+
+
 def _user_lookup(spark: SparkSession, sf: str) -> DataFrame:
     users = fixture(spark, sf, "users")
     body = F.to_json(F.struct("id", "name", F.array("id").alias("groupIdList"), F.lit('a \\ "{[').alias("description")))
@@ -195,10 +200,20 @@ def _load_once(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _strict_load(spark: SparkSession, sf: str) -> DataFrame:
+def _gated(spark: SparkSession, sf: str) -> load.Load:
     schema = "c_custkey bigint, c_acctbal int, c_mktsegment string"
-    loaded = load.strict_load(fixture(spark, sf, "raw_load"), schema, where="c_mktsegment <> 'FURNITURE'")
-    return loaded.result
+    return load.strict_load(fixture(spark, sf, "raw_load"), schema, where="c_mktsegment <> 'FURNITURE'")
+
+
+def _strict_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _gated(spark, sf).result
+
+
+def _load_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Both outcomes of the gate, row by row."""
+    gated = _gated(spark, sf)
+    good, bad = readers.as_text(gated.good).withColumn("outcome", F.lit("good")), gated.rejects.withColumn("outcome", F.lit("reject"))
+    return good.unionByName(bad).select("c_custkey", "c_mktsegment", "outcome")
 
 
 def _report_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,12 +401,14 @@ QUERIES: dict[str, Query] = {
     "batch_process": _batch_process,
     "scan_policies": _scan_policies,
     "policies_by_id": _policies_by_id,
+    "policies_missing": _policies_missing,
     "service_types": _service_types,
     "user_lookup": _user_lookup,
     "scan_inventory": _scan_inventory,
     "load_payloads": _load_payloads,
     "load_once": _load_once,
     "strict_load": _strict_load,
+    "load_rows": _load_rows,
     "report_sink": _report_sink,
     "text_sink": _text_sink,
     # storage inventory

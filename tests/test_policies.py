@@ -145,3 +145,10 @@ def test_rows_do_not_depend_on_partitions(spark, sf_dir, partitions):
     assert split.exceptAll(whole).count() == 0 and split.count() == whole.count()
     kept = policies.policy_expired(rows, AS_OF).count()
     assert kept + policies.policy_rejects(rows, AS_OF).count() == rows.count()
+
+
+def test_ids_without_a_policy_are_told(spark):
+    held = spark.createDataFrame([(1, "{}"), (2, "{}")], "id int, body string")
+    ids = spark.createDataFrame([(1,), (3,), (3,), (None,)], "id int")
+    assert [r.id for r in policies.missing_policies(held, ids).collect()] == [3]
+    assert policies.missing_policies(held, ids.limit(0)).count() == 0
