@@ -5,6 +5,9 @@ of arrivals whose rate is its weight; every arrival falls into one of the regist
 keeps the shingle that arrived first. A shingle stops once its time is past the latest register.
 Two registers agree with probability J_P, the probability Jaccard of the weights.
 
+A text that repeats a shingle has a second set of registers, in which every shingle has weight 1; there two registers agree with the plain
+Jaccard similarity. For other texts the two sets are the same, so both kinds of links are looked for in the same bands.
+
 Bands of registers bring texts together. In each bucket the text that meets the most
 others is the hub; every other member is compared with it, on whole texts. What the links so found
 leave in different classes of one bucket is compared too, where sketches of all
@@ -101,28 +104,44 @@ def signatures(keys: np.ndarray, times: np.ndarray, rows: int) -> np.ndarray:
     return what.reshape(rows, REGISTERS)
 
 
+def _banded(found: np.ndarray) -> np.ndarray:
+    """One hash per band of registers, a line per text."""
+    bands = found.reshape(len(found), BANDS, ROWS)
+    total = np.zeros((len(found), BANDS), np.uint64)
+    for k in range(ROWS):
+        total = mix(total + bands[:, :, k] + np.arange(BANDS, dtype=np.uint64))
+    return total
+
+
+def _lists(values: np.ndarray, empty: np.ndarray) -> pa.Array:
+    """Lines of BANDS numbers as lists, null where ``empty``."""
+    offsets = pa.array(np.arange(0, values.size + 1, BANDS, dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1).view(np.int64)), mask=pa.array(empty))
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, node, text) to (doc_id, node, bands, sketch); texts without words get null bands."""
+    """(doc_id, node, text) to (doc_id, node, bands, plain, sketch).
+
+    Texts without words get null bands, and only texts that repeat a shingle ``plain`` bands; their sketch holds that of the plain registers as well.
+    """
     for batch in batches:
         texts = batch.column(2)
         for low, high in slices(texts):
             rows = high - low
             keys, times, counts = shingles(texts.slice(low, rows))
             found = signatures(keys, times, rows)
-            bands = found.reshape(rows, BANDS, ROWS).copy()
-            total = np.zeros((rows, BANDS), np.uint64)
-            for k in range(ROWS):
-                total = mix(total + bands[:, :, k] + np.arange(BANDS, dtype=np.uint64))
-            sketch = pa.array([row.tobytes() for row in (found & np.uint64(255)).astype(np.uint8)], pa.binary())
-            empty = pa.array(counts == 0)
-
-            def lists(values: np.ndarray, width: int) -> pa.Array:
-                offsets = pa.array(np.arange(0, rows * width + 1, width, dtype=np.int32))
-                return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1).view(np.int64)), mask=empty)
-
+            owner = (keys >> np.uint64(48)).astype(np.int64)
+            repeats = np.bincount(owner, times > 1, rows) > 0
+            plain = found
+            if repeats.any():
+                mine = repeats[owner]
+                plain = signatures(keys[mine], np.ones(int(mine.sum()), np.int64), rows)
+            sketch = [(a & np.uint64(255)).astype(np.uint8).tobytes() + ((b & np.uint64(255)).astype(np.uint8).tobytes() if r else b"")
+                      for a, b, r in zip(found, plain, repeats.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, rows), batch.column(1).slice(low, rows), lists(total, BANDS), sketch],
-                names=["doc_id", "node", "bands", "sketch"],
+                [batch.column(0).slice(low, rows), batch.column(1).slice(low, rows), _lists(_banded(found), counts == 0),
+                 _lists(_banded(plain), ~repeats), pa.array(sketch, pa.binary())],
+                names=["doc_id", "node", "bands", "plain", "sketch"],
             )
 
 
@@ -189,7 +208,7 @@ def near_copy_nodes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select("doc_id", fingerprint("text").alias("node"), text_or_empty("text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = narrow.mapInArrow(_signed, f"doc_id {id_type}, node binary, bands array<long>, sketch binary")
+    signed = narrow.mapInArrow(_signed, f"doc_id {id_type}, node binary, bands array<long>, plain array<long>, sketch binary")
     path = scratch_path(spark, "signatures")
     signed.write.parquet(path)
     signed = spark.read.schema(signed.schema).parquet(path)
@@ -197,7 +216,11 @@ def near_copy_nodes(docs: DataFrame) -> DataFrame:
     nodes = cut(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     # One row per text: of its copies only those with the least id, and of these one.
     single = join_on(signed, nodes, ["node", "doc_id"], null_keys=("doc_id",)).dropDuplicates(["node"]).where("bands is not null")
-    banded = single.select("node", F.posexplode("bands").alias("band", "value"))
+    both = F.when(F.col("plain").isNull(), F.col("bands")).otherwise(F.concat("bands", "plain"))
+    placed = single.select("node", "bands", F.posexplode(both).alias("at", "value"))
+    # Where both sets of registers agree on a band, a text stands in its bucket once.
+    placed = placed.where((F.col("at") < BANDS) | (F.col("value") != F.get("bands", F.col("at") - BANDS)))
+    banded = placed.select("node", (F.col("at") % BANDS).alias("band"), "value")
     buckets = banded.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1")
     met = cut(join_on(banded, buckets, ["band", "value"]))
     central = met.groupBy("node").agg(F.sum("members").alias("central"))
@@ -256,8 +279,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = group.combine_chunks()
         band = group.column("band")[0].as_py()
         nodes, low = group.column("node").to_pylist(), group.column("low").to_pylist()
-        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        bands = group.column("bands").combine_chunks().values.to_numpy().reshape(-1, BANDS)
+        sketches = group.column("sketch").to_pylist()
+        # Texts that repeat nothing have one set of registers for both.
+        sketch, also = (
+            np.frombuffer(b"".join(part), np.uint8).reshape(-1, REGISTERS)
+            for part in ([x[:REGISTERS] for x in sketches], [x[-REGISTERS:] for x in sketches])
+        )
+        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        plain, second = bands.copy(), group.column("plain").combine_chunks()
+        plain[second.is_valid().to_numpy(zero_copy_only=False)] = second.flatten().to_numpy().reshape(-1, BANDS)
         keys, times, _ = shingles(group.column("text").combine_chunks())
         first = np.searchsorted(keys, np.arange(len(nodes) + 1, dtype=np.uint64) << np.uint64(48))
         parts = [(keys[x:y] & np.uint64((1 << 48) - 1), 1.0 + np.log(times[x:y])) for x, y in zip(first, first[1:])]
@@ -270,11 +300,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         u, v = [], []
         for i in asks.tolist():
-            agree = (sketch[answers] == sketch[i]).sum(axis=1)
+            agree = np.maximum((sketch[answers] == sketch[i]).sum(axis=1), (also[answers] == also[i]).sum(axis=1))
             near = np.flatnonzero(agree >= SKETCH_AGREE)
             for j in answers[near[np.argsort(-agree[near], kind="stable")]].tolist():
                 mine, other = find(low[i]), find(low[j])
-                if mine == other or int((bands[i] == bands[j]).argmax()) != band:
+                if mine == other:
+                    continue
+                shared = (bands[i] == bands[j]) | (plain[i] == plain[j]) | (bands[i] == plain[j]) | (plain[i] == bands[j])
+                if int(shared.argmax()) != band:
                     continue
                 if _one_link(*parts[i], *parts[j]):
                     root[other] = mine
@@ -323,9 +356,9 @@ def _left_apart(met: DataFrame, single: DataFrame, classes: DataFrame, texts: Da
     elsewhere = F.filter(F.sequence(F.lit(0), F.col("down") - 1), lambda m: F.col("minor") & (m != F.col("own_m")))
     asking = F.transform(elsewhere, lambda m: cell(F.col("own_a"), m, F.lit(True), F.lit(False)))
     rows = rows.select("band", "value", "node", "low", F.concat(answering, asking).alias("cells"))
-    rows = join_on(join_on(rows, single.select("node", "bands", "sketch"), ["node"]), texts, ["node"])
+    rows = join_on(join_on(rows, single.select("node", "bands", "plain", "sketch"), ["node"]), texts, ["node"])
     rows = rows.withColumn("cell", F.explode("cells")).select(
-        "band", "value", "cell.a", "cell.m", "cell.asks", "cell.answers", "node", "low", "sketch", "bands", "text"
+        "band", "value", "cell.a", "cell.m", "cell.asks", "cell.answers", "node", "low", "sketch", "bands", "plain", "text"
     )
     cells = ["band", "value", "a", "m"]
     return rows.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(_meet, "u binary, v binary")

@@ -128,3 +128,19 @@ def test_components(spark):
         root[y] = x
     found = components(spark.createDataFrame(links, "u long, v long")).collect()
     assert sorted((r.u, r.low) for r in found) == sorted((x, find(x)) for x in list(root))
+
+
+def test_plain_similarity_is_found_where_the_unshared_part_repeats(spark):
+    """Shared shingles once, extra ones many times: plain Jaccard above 0.8, that of the weights far below."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(40):
+        base = [f"b{i}_{rng.randrange(10**6)}" for _ in range(420)]
+        extra = [f"e{i}_{rng.randrange(10**6)}" for _ in range(70)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base + extra * 30))]
+    a, b = _weights(rows[0][1]), _weights(rows[1][1])
+    assert len(a.keys() & b.keys()) / len(a.keys() | b.keys()) >= 0.8
+    keys, times, _ = nc.shingles(pa.array([rows[0][1], rows[1][1]]))
+    found = nc.signatures(keys, times, 2)
+    assert (found[0] == found[1]).mean() < 0.75
+    assert _found(spark, rows) == _classes(rows) == sorted((d, d - d % 2) for d, _ in rows)
