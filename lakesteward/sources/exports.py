@@ -20,6 +20,11 @@ from .schemas import POLICY, SERVICE_DEFINITION, USERS
 
 RANGE_BYTES = 64 << 20
 READ_BYTES = 4 << 20
+# First step by which a document is followed beyond the end of its range; each further one is twice as long.
+TAIL_BYTES = 4 << 10
+# Bytes that one task is meant to read. Short ranges share a task, long ones have one each.
+TASK_BYTES = 16 << 20
+MAX_TASKS = 10_000
 # How deep documents lie: one to a line, in an array, in an array that a field of one object holds.
 DEPTHS = {"lines": 0, "array": 1, "wrapped": 2}
 
@@ -75,6 +80,16 @@ def _blocks(file, start: int, end: int) -> Iterator[tuple[int, np.ndarray, np.nd
         at += len(raw)
 
 
+def _range_and_tail(file, start: int, end: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Blocks of a range, and of what follows it in growing steps, as far as they are asked for."""
+    yield from _blocks(file, start, end)
+    at, step = end, TAIL_BYTES
+    while at < size:
+        yield from _blocks(file, at, min(at + step, size))
+        at += step
+        step = min(2 * step, READ_BYTES)
+
+
 def _inside(size: int, quotes: np.ndarray, start: bool) -> np.ndarray:
     """Which bytes lie inside a text; the quotes themselves count to either side."""
     flips = np.zeros(size, np.int8)
@@ -104,12 +119,9 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _documents(file, start: int, end: int, inside: bool, depth: int, level: int) -> Iterator[tuple[int, bytes]]:
-    """Documents that start in a range: objects whose opening bracket leads from ``level`` one deeper."""
+    """Documents that start in a range: objects whose opening bracket leads from ``level`` one deeper. Beyond the range only its last one is read."""
     begun, held = None, []
-    size = file.size()
-    for at, data, quotes in _blocks(file, start, size):
-        if at >= end and begun is None:
-            return
+    for at, data, quotes in _range_and_tail(file, start, end, file.size()):
         text = _inside(len(data), quotes, inside)
         step = np.where(text, 0, _STEP[data]).astype(np.int64)
         after = depth + np.cumsum(step)
@@ -131,6 +143,8 @@ def _documents(file, start: int, end: int, inside: bool, depth: int, level: int)
         if begun is not None:
             held.append(data[from_:].tobytes())
         inside, depth = bool(text[-1]), int(after[-1])
+        if at + len(data) >= end and begun is None:
+            return
     if begun is not None:
         yield begun, b"".join(held)
 
@@ -173,16 +187,18 @@ def read_documents(spark: SparkSession, path: str, layout: str = "array", range_
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))
     ranges = files.select("file", "length", F.explode(starts).alias("start"))
     ranges = ranges.select("file", "start", F.least(F.col("start") + range_bytes, "length").alias("end"))
-    count = ranges.count()
-    # Every range is a task of its own, as far as the cluster has them.
-    apart = ranges.repartition(max(1, min(count, 10_000)), "file", "start")
+    measured = ranges.agg(F.count("*").alias("count"), F.sum(F.col("end") - F.col("start")).alias("bytes")).first()
+    # A task costs more than a short range does, so tasks go by bytes; every core has one, as far as there are ranges.
+    wanted = max(spark.sparkContext.defaultParallelism, -(-(measured["bytes"] or 0) // TASK_BYTES))
+    tasks = max(1, min(measured["count"], wanted, MAX_TASKS))
+    apart = ranges.repartition(tasks, "file", "start")
     told = apart.mapInArrow(_summaries, "file string, start long, end long, quotes long, outside long, within long")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     flipped = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
     placed = told.withColumn("inside", flipped)
     placed = placed.withColumn("change", F.when(F.col("inside"), F.col("within")).otherwise(F.col("outside")))
     placed = placed.withColumn("depth", F.coalesce(F.sum("change").over(before), F.lit(0)))
-    states = placed.select("file", "start", "end", "inside", "depth").repartition(max(1, min(count, 10_000)), "file", "start")
+    states = placed.select("file", "start", "end", "inside", "depth").repartition(tasks, "file", "start")
     return states.mapInArrow(_reader(level), "file string, place long, body string")
 
 

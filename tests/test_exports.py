@@ -95,3 +95,35 @@ def test_definitions_keep_their_nested_fields(spark, tmp_path):
                              "resources": [{"name": "path", "matcherOptions": {"wildCard": "true"}}]}], "totalCount": 1}
     row = exports.read_definitions(spark, _written(tmp_path, "s.json", json.dumps(body))).first()
     assert row.accessTypes[0].impliedGrants == ["a", "b"] and row.resources[0].matcherOptions.wildCard == "true" and row.options["ui.pages"] == "x"
+
+
+def test_a_short_range_reads_little_of_a_long_file(tmp_path):
+    """What is read follows the range and its last document, not the file or the size of a block."""
+    documents = [{"id": i, "text": "x" * 200} for i in range(20_000)]
+    path = _written(tmp_path, "e.json", json.dumps(documents))
+    store, name = exports._opened(path)
+
+    class Counted:
+        read_bytes = 0
+
+        def __init__(self, file):
+            self.size, self.seek, self._file = file.size, file.seek, file
+
+        def read(self, n):
+            out = self._file.read(n)
+            self.read_bytes += len(out)
+            return out
+
+    with store.open_input_file(name) as file:
+        counted = Counted(file)
+        found = [json.loads(b)["id"] for _, b in exports._documents(counted, 0, 10_000, False, 0, 1)]
+        assert found == list(range(len(found))) and len(found) > 30
+        assert counted.read_bytes < 30_000
+
+
+def test_short_ranges_share_tasks(spark, tmp_path):
+    documents = [{"id": i, "text": "x\\\"{[" * 20} for i in range(3000)]
+    path = _written(tmp_path, "export.json", json.dumps(documents))
+    read = exports.read_documents(spark, path, range_bytes=1000)
+    assert read.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(json.loads(r.body)["id"] for r in read.collect()) == list(range(3000))
