@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import scratch_path
 from .grants import grant_flat
+from .joins import KEY_ROWS, spread_join
 
 
 def transitive_closure(links: DataFrame) -> DataFrame:
@@ -34,24 +35,33 @@ def transitive_closure(links: DataFrame) -> DataFrame:
         paths.append(path)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """The rows as files, for what is read more than once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def effective_grants(grants: DataFrame) -> DataFrame:
+
+def effective_grants(grants: DataFrame, key_rows: int = KEY_ROWS) -> DataFrame:
     """``grantee_type, grantee_name, ip, object_type, object_name, object_db_name, object_tbl_name, permission``: all that each grantee may do,
     by grants of its own and by those of the roles it has, directly or through other roles; distinct.
 
-    The closure is taken over roles alone, which are few beside users; users meet it once.
+    The closure is taken over roles alone, which are few beside users; users meet it once. A role that nearly all have fills no task: its
+    holders are dealt, ``key_rows`` at a time.
     """
+    root = scratch_path(grants.sparkSession, "grants")
     flat = grant_flat(grants)
     holder = F.struct("grantee_type", "grantee_name", "ip")
     given = flat.where("object_type = 'ROLE'").select(holder.alias("holder"), F.explode("permissions").alias("role"))
-    given = given.distinct()
+    given = _written(given.distinct(), f"{root}/given")
     between = given.where("holder.grantee_type = 'ROLE'").select(F.col("holder.grantee_name").alias("source"), F.col("role").alias("target"))
     reach = transitive_closure(between)
     roles = given.select("holder", F.col("role").alias("target")).unionByName(
         given.join(reach, given["role"] == reach["source"]).select("holder", "target")
-    ).distinct()
+    )
+    roles = _written(roles.distinct(), f"{root}/roles")
     objects = ["object_type", "object_name", "object_db_name", "object_tbl_name"]
-    rights = flat.where("object_type <> 'ROLE'").select(holder.alias("holder"), *objects, F.explode("permissions").alias("permission")).distinct()
+    rights = flat.where("object_type <> 'ROLE'").select(holder.alias("holder"), *objects, F.explode("permissions").alias("permission"))
+    rights = _written(rights.distinct(), f"{root}/rights")
     of_roles = rights.where("holder.grantee_type = 'ROLE'").select(F.col("holder.grantee_name").alias("target"), *objects, "permission")
-    inherited = roles.join(of_roles, "target").select("holder", *objects, "permission")
+    inherited = spread_join(roles, of_roles, ["target"], key_rows).select("holder", *objects, "permission")
     return inherited.unionByName(rights).distinct().select("holder.*", *objects, "permission")

@@ -63,3 +63,17 @@ def test_privileges_through_roles(spark):
         ("reader", "", "TABLE", "SELECT"), ("writer", "", "TABLE", "SELECT"), ("writer", "", "TABLE", "INSERT"),
     }
     assert effective_grants(grants.limit(0)).count() == 0
+
+
+def test_a_role_that_all_have_is_dealt(spark):
+    """No task gets all holders of one role; the result is that of the undealt join."""
+    users = spark.range(900).selectExpr("id AS grant_id", "'c' AS catalog", "concat('u', id, '@%') AS user_identity", "'GRANT team TO USER x' AS grant_sql")
+    roles = spark.createDataFrame(
+        [(-1, "c", "team", "GRANT all_staff TO ROLE x"), (-2, "c", "all_staff", "GRANT SELECT, INSERT ON TABLE d.t TO ROLE x")], users.schema
+    )
+    found = effective_grants(users.unionByName(roles), key_rows=100)
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "target" in line]
+    assert any("_salt" in line and "_copy" in line for line in joins)
+    rows = [(r.grantee_name, r.permission) for r in found.collect()]
+    holders = [f"u{i}" for i in range(900)] + ["team", "all_staff"]
+    assert sorted(rows) == sorted((h, p) for h in holders for p in ("SELECT", "INSERT"))
