@@ -319,30 +319,40 @@ def _text_grams() -> Column:
     return F.array_distinct(F.flatten(F.transform(F.split(F.lower("pattern"), "\\."), _grams)))
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """A written table of texts, to be broadcast if it is as small as a catalogue that is. One aggregate measures it; before a shuffle the engine cannot tell."""
+    texts = [F.octet_length(f.name) for f in df.schema if f.dataType.simpleString() == "string"]
+    measured = df.agg(F.count("*").alias("rows"), F.sum(sum(texts, F.lit(0))).alias("bytes")).first()
+    small = measured["rows"] <= BROADCAST_LOCATIONS and (measured["bytes"] or 0) <= BROADCAST_LOCATION_BYTES
+    return F.broadcast(df) if small else df
+
+
 def gram_pairs(names: DataFrame, patterns: DataFrame) -> DataFrame:
     """Paths (``_name``, ``_folded``) with the plain patterns (``pattern``, ``table_name``) that may be found in them.
 
     A pattern meets the paths that hold the one of its pieces that the fewest paths hold, counted over all paths; a pattern
-    with a piece that no path holds meets none.
+    with a piece that no path holds meets none. Those are most of a large catalogue, so they go first, by counts alone.
     """
-    pieces = cut(patterns.select("pattern", "table_name", F.explode(_text_grams()).alias("_gram")))
+    def pieces(of: DataFrame) -> DataFrame:
+        return of.select("pattern", "table_name", F.explode(_text_grams()).alias("_gram"))
+
     held = names.select("_name", F.explode(F.array_distinct(_grams(F.col("_folded")))).alias("_gram"))
-    wanted = pieces.select("_gram").distinct()
-    often = held.join(wanted, "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_paths"))
-    counted = pieces.join(often, "_gram", "left")
-    rarest = counted.groupBy("pattern", "table_name").agg(F.min(F.struct(F.coalesce("_paths", F.lit(0)).alias("_paths"), "_gram")).alias("_rarest"))
-    anchors = cut(rarest.where("_rarest._paths > 0").select("pattern", "table_name", F.col("_rarest._gram").alias("_gram")))
+    often = _bounded(cut(held.groupBy("_gram").agg(F.count("*").alias("_paths"))))
+    counted = pieces(patterns).join(often, "_gram", "left").groupBy("pattern", "table_name")
+    whole = cut(counted.agg(F.count("*").alias("_all"), F.count("_paths").alias("_held")).where("_all = _held").select("pattern", "table_name"))
+    rarest = pieces(whole).join(often, "_gram").groupBy("pattern", "table_name").agg(F.min(F.struct("_paths", "_gram")).alias("_rarest"))
+    anchors = _bounded(cut(rarest.select("pattern", "table_name", F.col("_rarest._gram").alias("_gram"))))
     return held.join(anchors, "_gram")
 
 
 def _attach_by_name(listing: DataFrame, owners: DataFrame) -> DataFrame:
     """Left join of one owner per path.
 
-    The owners are written first: then both sides of the join are plain shuffles, and the engine splits a path that fills much
-    of the listing.
+    The owners are written first: few enough of them are broadcast, and the listing is not shuffled. Otherwise both sides of the join are plain
+    shuffles, and the engine splits a path that fills much of the listing.
     """
     named = listing.withColumn("_name", or_empty(F.col("name")))
-    return named.join(cut(owners), "_name", "left").drop("_name")
+    return named.join(_bounded(cut(owners)), "_name", "left").drop("_name")
 
 
 # --- plain locations ---------------------------------------------------------

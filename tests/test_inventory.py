@@ -162,3 +162,25 @@ def test_pieces_give_what_trying_all_gives(spark):
         sorted((r.name, r.table_name, r.is_table) for r in inventory.match_locations(rows, locations, plan_patterns=n).collect()) for n in (512, 0, 3)
     ]
     assert found[0] == found[1] == found[2] and sum(r[2] for r in found[0]) > 50
+
+
+@pytest.mark.parametrize("rows", [0, 500_000])
+def test_few_owners_and_pieces_move_no_paths(spark, monkeypatch, rows):
+    """Pieces of paths and the listing stay where they are if what they meet is small; the rows are the same if it is not."""
+    monkeypatch.setattr(inventory, "BROADCAST_LOCATIONS", rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As for tables that the engine takes for large.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        listing = spark.range(400).selectExpr("concat('/a/b/Zone', id % 7, '/Tbl_', id) AS name", "'DIR' AS type", "1L AS size_byte")
+        found = [(f"zone{i % 7}/tbl_{i}", f"d.t{i}") for i in range(390, 420)]
+        locations = spark.createDataFrame(found + [(f"nowhere{i}", f"d.n{i}") for i in range(30)], "pattern string, table_name string")
+        matched = inventory.match_locations(listing, locations, plan_patterns=1)
+        names = listing.select(F.col("name").alias("_name"), F.lower("name").alias("_folded"))
+        pairs = inventory.gram_pairs(names, locations)
+        for df in (matched, pairs):
+            assert ("hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()) == (rows == 0)
+        assert sorted(r["table_name"] for r in matched.where("is_table").collect()) == [f"d.t{i}" for i in range(390, 400)]
+        assert {(r["pattern"], r["_name"]) for r in pairs.collect()} >= {(f"zone{i % 7}/tbl_{i}", f"/a/b/Zone{i % 7}/Tbl_{i}") for i in range(390, 400)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
