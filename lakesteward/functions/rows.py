@@ -15,6 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows of costly work that one task is meant to have.
+TASK_ROWS = 50_000
+
+
+def dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The same rows in tasks of about so many, and in one for every core at least.
+
+    For work that is large beside its input: a file gives no more tasks than it has row groups, however many splits it is read in. Called on
+    what the work is made from, it moves only the columns that the work reads.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // task_rows))
+    return df.repartition(tasks)
+
+
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """``df.where(condition)`` with the condition evaluated in place."""
     return df.withColumn("_keep", F.explode_outer(F.array(condition))).where("_keep").drop("_keep")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import dealt
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -265,11 +267,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table in Spark. Views are resolved here, so later calls may replace them."""
+def fixture(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A derived table in Spark, its base tables dealt over tasks if ``spread``. Views are resolved here, so later calls may replace them."""
     for base in TABLES:
         if f" {base}" in STATEMENTS[name]:
-            table(spark, sf_dir, base).createOrReplaceTempView(base)
+            rows = table(spark, sf_dir, base)
+            (dealt(rows) if spread else rows).createOrReplaceTempView(base)
     return spark.sql(STATEMENTS[name])
 
 

@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakesteward.operators import policies
 
@@ -152,3 +153,15 @@ def test_ids_without_a_policy_are_told(spark):
     ids = spark.createDataFrame([(1,), (3,), (3,), (None,)], "id int")
     assert [r.id for r in policies.missing_policies(held, ids).collect()] == [3]
     assert policies.missing_policies(held, ids.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["pol_items", "pol_flat", "pol_object_type", "pol_validity_text"])
+def test_policies_of_one_row_group_are_parsed_by_several_tasks(spark, sf_dir, name):
+    from lakesteward.plans.registry import QUERIES
+
+    rows = QUERIES[name](spark, sf_dir)
+    per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) >= 4 and max(per_task) < sum(per_task) / 2
+    # Only the key that the policies are made from moves.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Project [c_custkey" in plan.split("Repartition")[1]
